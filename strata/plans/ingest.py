@@ -163,17 +163,19 @@ def with_lineage(rows: DataFrame, plan: DataFrame, batch_id: str, batch_ts: dt.d
                  source_prefix: str = "") -> DataFrame:
     """K1 + K2: contract rows of LOAD files with the lineage columns."""
     loads = plan.filter(F.col("action") == "LOAD").select(
-        "path", "rel", "file_hash", "file_version", "id_unidade", load_id(plan).alias("_load_id"))
-    j = rows.join(loads, "path", "inner")
+        "path", F.col("rel").alias("_p_rel"), F.col("file_hash").alias("_p_hash"),
+        F.col("file_version").alias("_p_version"), F.col("id_unidade").alias("_p_unit"),
+        load_id(plan).alias("_load_id"))
+    j = rows.join(bounded_broadcast(loads), "path", "inner")
     return j.withColumns({
         "_ingestion_ts": F.lit(batch_ts),
-        "_source_file": F.concat(F.lit(source_prefix), F.col("rel")),
-        "_file_hash": F.col("file_hash"),
-        "_file_version": F.col("file_version"),
-        "_id_unidade": F.col("id_unidade").cast("string"),
+        "_source_file": F.concat(F.lit(source_prefix), F.col("_p_rel")),
+        "_file_hash": F.col("_p_hash"),
+        "_file_version": F.col("_p_version"),
+        "_id_unidade": F.col("_p_unit").cast("string"),
         "_batch_id": F.lit(batch_id),
         "_line_no": F.col("record_no"),
-    }).drop("path", "rel", "file_hash", "file_version", "id_unidade", "record_no")
+    }).drop("path", "_p_rel", "_p_hash", "_p_version", "_p_unit", "record_no")
 
 
 def run_summary(plan: DataFrame, invalid_names: DataFrame | None = None) -> DataFrame:
@@ -192,14 +194,23 @@ def landing_batch(spark, root: str, log: DataFrame, batch_id: str, batch_ts: dt.
     see ``strata.sinks.storage`` for the commit order."""
     from strata.sources.landing import contract_rows, decode_text, scan_landing, validate_files
 
+    from strata.session import checkpoint_root
+
+    checkpoint_root(spark)        # reliable checkpoints go to the shared folder
     valid, invalid = scan_landing(spark, root, data_ref)
+    invalid = invalid.checkpoint()
     decoded = decode_text(valid)
     errors, records = validate_files(decoded.select("path", "tipo", "id_unidade", "text"))
+    # The files are read and parsed once: records and errors are cut from
+    # their lineage, so every later output reuses them and a lost executor
+    # does not re-run the parse.
+    records = records.checkpoint()
+    errors = errors.checkpoint()
     files = valid.join(errors, "path", "left").withColumn(
         "valid", F.coalesce(F.size("errors") == 0, F.lit(False)))
     plan = plan_files(files.select("path", "rel", "id_unidade", "tipo", "data_ref", "file_hash", "valid",
                                    "errors"),
-                      log, forced_pairs(spark, forced), hash_scope)
+                      log, forced_pairs(spark, forced), hash_scope).checkpoint()
     counts = records.groupBy("path").agg(F.count(F.lit(1)).alias("row_count"))
     raw = {}
     for tipo in schemas.EXPECTED_COLUMNS:
