@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from strata import schemas
 
-# Unicode white space (Java \s misses NBSP and friends; \p{Z} adds them).
-_EDGE_WS = r"^[\s\p{Z}\x{FEFF}]+|[\s\p{Z}\x{FEFF}]+$"
+# Every BMP character Python's ``str.isspace`` accepts (what the source
+# system's trim removes), plus the byte-order mark.  Built by rule, used by a
+# native character-set trim (no regex, stays in generated code).
+WHITE_SPACE = "".join(chr(i) for i in range(0x10000) if chr(i).isspace()) + "\ufeff"
 
 
 def _c(c) -> Column:
@@ -18,7 +20,7 @@ def _c(c) -> Column:
 
 def clean(c) -> Column:
     """Trim all Unicode white space (and a stray BOM) from both ends."""
-    return F.regexp_replace(_c(c), _EDGE_WS, "")
+    return F.trim(_c(c), F.lit(WHITE_SPACE))
 
 
 def blank_to_null(c) -> Column:
@@ -47,8 +49,11 @@ def parse_decimal_br(c, precision: int = 38, scale: int = 9) -> Column:
 def parse_date_br(c) -> Column:
     """``d/M/yyyy`` first, ISO ``yyyy-M-d`` second, on the first 10 characters."""
     head = clean(F.substring(clean(c), 1, 10))
-    return F.coalesce(F.try_to_date(head, "d/M/yyyy"),
-                      F.try_to_date(head, "yyyy-M-d"))
+    # Same result as trying both formats in turn: a text with '/' can only
+    # match the first, one without it only the second (and no parse is tried
+    # that must fail).
+    return F.when(F.contains(head, F.lit("/")), F.try_to_date(head, "d/M/yyyy")) \
+        .otherwise(F.try_to_date(head, "yyyy-M-d"))
 
 
 def standardize(c, mapping: dict[str, str]) -> Column:
@@ -87,4 +92,4 @@ def mask_text(c, keep: int = 0) -> Column:
 
 def normalize_header_name(c) -> Column:
     """Header cell -> canonical form: trim, drop BOM, inner white space -> '_'."""
-    return F.regexp_replace(clean(c), r"[\s\p{Z}]+", "_")
+    return F.regexp_replace(clean(c), r"[\s\p{Z}\x{85}\x{1C}-\x{1F}]+", "_")

@@ -24,9 +24,20 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
 
 
 def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str], cols: Sequence[str] | None = None,
-           how: str = "left", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df ⟕ dim USING (on)``, keeping ``cols`` of the dimension."""
+           how: str = "left", max_broadcast_rows: int | None = None) -> DataFrame:
+    """``df ⟕ dim USING (on)``, keeping ``cols`` of the dimension.
+
+    By default the broadcast decision is Spark's own size check, with no extra
+    job: at planning the dimension's estimated size (an upper bound from its
+    files) is compared with ``spark.sql.autoBroadcastJoinThreshold``; at run
+    time AQE measures the shuffled size and turns a sort-merge join into a
+    broadcast join only below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+    A dimension above both stays a shuffle join.  ``max_broadcast_rows`` forces
+    the hint after an explicit, bounded row count instead.
+    """
     keys = [on] if isinstance(on, str) else list(on)
     if cols is not None:
         dim = dim.select(*keys, *[c for c in cols if c not in keys])
-    return df.join(bounded_broadcast(dim, max_broadcast_rows), keys, how)
+    if max_broadcast_rows is not None:
+        dim = bounded_broadcast(dim, max_broadcast_rows)
+    return df.join(dim, keys, how)

@@ -166,7 +166,7 @@ def with_lineage(rows: DataFrame, plan: DataFrame, batch_id: str, batch_ts: dt.d
         "path", F.col("rel").alias("_p_rel"), F.col("file_hash").alias("_p_hash"),
         F.col("file_version").alias("_p_version"), F.col("id_unidade").alias("_p_unit"),
         load_id(plan).alias("_load_id"))
-    j = rows.join(bounded_broadcast(loads), "path", "inner")
+    j = rows.join(loads, "path", "inner")
     return j.withColumns({
         "_ingestion_ts": F.lit(batch_ts),
         "_source_file": F.concat(F.lit(source_prefix), F.col("_p_rel")),
@@ -194,18 +194,20 @@ def landing_batch(spark, root: str, log: DataFrame, batch_id: str, batch_ts: dt.
     see ``strata.sinks.storage`` for the commit order."""
     from strata.sources.landing import contract_rows, decode_text, scan_landing, validate_files
 
-    from strata.session import checkpoint_root
+    from strata.session import scratch_path
+
+    def materialize(df: DataFrame) -> DataFrame:
+        # The files are read and parsed once, into a table in the shared
+        # folder: every later output reuses it and a lost executor never
+        # re-runs the parse (lineage is cut at the written table).
+        path = scratch_path(spark, f"landing-records-{batch_id}")
+        df.write.mode("errorifexists").parquet(path)
+        return spark.read.parquet(path)
 
-    checkpoint_root(spark)        # reliable checkpoints go to the shared folder
     valid, invalid = scan_landing(spark, root, data_ref)
-    invalid = invalid.checkpoint()
     decoded = decode_text(valid)
-    errors, records = validate_files(decoded.select("path", "tipo", "id_unidade", "text"))
-    # The files are read and parsed once: records and errors are cut from
-    # their lineage, so every later output reuses them and a lost executor
-    # does not re-run the parse.
-    records = records.checkpoint()
-    errors = errors.checkpoint()
+    errors, records = validate_files(decoded.select("path", "tipo", "id_unidade", "text"),
+                                     materialize=materialize)
     files = valid.join(errors, "path", "left").withColumn(
         "valid", F.coalesce(F.size("errors") == 0, F.lit(False)))
     plan = plan_files(files.select("path", "rel", "id_unidade", "tipo", "data_ref", "file_hash", "valid",

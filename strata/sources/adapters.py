@@ -178,3 +178,24 @@ def landing_files(spark: SparkSession, sf_dir: str, data_ref: dt.date = LANDING_
                     F.col("doc_id").cast("string"), F.lit(".csv"))
     return d.select(path.alias("path"), F.encode("text", "UTF-8").alias("content"),
                     F.col("n_chars").alias("length"), "doc_id")
+
+
+def write_landing_orders(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Render ``orders`` as real landing CSV files under ``root``: one file per
+    (unit, year) at ``incoming/pedido/id_unidade=<nation>/dt=<year>-01-01/``,
+    ``;``-separated, header first, values printed as stores send them (the
+    nation of the customer plays the sending unit)."""
+    from strata.schemas import EXPECTED_COLUMNS
+    o = raw_pedido(spark, sf_dir)
+    cust = read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("_id_unidade"), F.col("c_nationkey").cast("string").alias("unit"))
+    rows = o.join(cust, "_id_unidade").withColumn(
+        "Id_Unidade", F.col("unit")).withColumn(
+        "dt", F.concat(F.substring(F.regexp_extract("_source_file", r"dt=(\d{4})", 1), 1, 4), F.lit("-01-01")))
+    header = ";".join(EXPECTED_COLUMNS["pedido"])
+    line = F.concat_ws(";", *[F.col(c) for c in EXPECTED_COLUMNS["pedido"]]).alias(header)
+    (rows.select(F.col("unit").alias("id_unidade"), "dt", line)
+         .repartition("id_unidade", "dt")
+         .write.mode("overwrite").partitionBy("id_unidade", "dt")
+         .option("header", True).option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
+         .csv(f"{root.rstrip('/')}/incoming/pedido"))

@@ -166,18 +166,23 @@ def _contract_arrays() -> tuple[Column, Column]:
     return expected, cmap
 
 
-def validate_files(m: DataFrame, max_errors: int = schemas.MAX_ERRORS_PER_FILE) -> tuple[DataFrame, DataFrame]:
+def validate_files(m: DataFrame, max_errors: int = schemas.MAX_ERRORS_PER_FILE,
+                   materialize=None) -> tuple[DataFrame, DataFrame]:
     """V1-V6 over decoded files.
 
     ``m``: path, tipo, id_unidade, text.  Returns ``(file_errors, records)``:
     file_errors = path, errors (ordered messages, empty when the file is
     valid), header (canonical names); records = data records of every file
     (path, record_no, cells) for the caller to keep for valid files only.
+    ``materialize`` (DataFrame -> DataFrame) may store the split records once
+    (e.g. as a table in the shared folder) so both outputs reuse one parse.
     """
     m = m.withColumn("delimiter", detect_delimiter(F.col("text")))
     empty = F.coalesce(F.length(C.clean("text")), F.lit(0)) == 0
     files = m.withColumn("is_empty", empty)
     recs = split_records(files.filter(~F.col("is_empty")))
+    if materialize is not None:
+        recs = materialize(recs)
 
     expected, cmap = _contract_arrays()
     header = (recs.filter(F.col("record_no") == 1)
