@@ -84,8 +84,8 @@ def differs(a, b, tol: str = schemas.DIVERGENCE_TOLERANCE) -> Column:
 
 
 def mask_text(c, keep: int = 0) -> Column:
-    """Hide personal text for non-privileged readers: a salted-free SHA-256
-    digest prefix keeps joinability without revealing the value."""
+    """Hide personal text for non-privileged readers.  A SHA-256 digest
+    prefix keeps equal values joinable without revealing them."""
     digest = F.substring(F.sha2(F.encode(_c(c), "UTF-8"), 256), 1, 16)
     return F.when(_c(c).isNull(), F.lit(None).cast("string")).otherwise(F.concat(F.lit("***"), digest))
 

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 # that does not is joined by shuffle, and AQE may still pick a broadcast at
 # run time from the measured size.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# Dimension sides that are join results (unit ⟕ state ⟕ country) get no
+# useful size estimate without CBO (a join's estimate is the product of its
+# inputs), so the models check them with this bounded row count instead.
+DIMENSION_MAX_ROWS = DEFAULT_MAX_BROADCAST_ROWS
 
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -46,10 +46,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when it is unset (local runs and tests) a private folder is created
     and registered, so that later reads of the setting agree.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         master = spark.sparkContext.master
         if not master.startswith("local"):
@@ -74,14 +71,6 @@ def local_path(p: str) -> str:
     return p
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Existence test through the Hadoop filesystem (works on any scheme)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
-
-
 def env_cpus(default: int = 8) -> int:
     try:
         return int(os.environ.get("BENCH_CPUS", default))

@@ -63,10 +63,11 @@ def _pointer(path: str) -> str:
 
 def current_version(spark: SparkSession, path: str) -> str | None:
     """The version folder a ``replace_table`` table currently points to."""
-    from strata.session import exists
-    if not exists(spark, _pointer(path)):
+    from pyspark.errors import AnalysisException
+    try:
+        rows = spark.read.text(_pointer(path)).collect()     # one short line
+    except AnalysisException:                               # no pointer: not a versioned table
         return None
-    rows = spark.read.text(_pointer(path)).collect()
     return rows[0][0] if rows else None
 
 
