@@ -14,13 +14,13 @@ The number of buckets follows the size of the input, so a bucket stays a few MB
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import tokens as T
@@ -87,23 +87,25 @@ def buckets_for(chunks: DataFrame, per_bucket: int = 16 << 20) -> int:
 
 def squeeze(*arrays: np.ndarray) -> bytes:
     """Arrays of any one-dimensional dtype as bytes, lightly compressed column by column."""
-    parts = []
+    parts, z = [], zstandard.ZstdCompressor(level=1)
     for a in arrays:
         raw = np.ascontiguousarray(a).tobytes()
-        small = zlib.compress(raw, 1) if a.dtype.itemsize < 8 and len(raw) > 64 else raw
-        head = f"{a.dtype.str},{len(raw)},{len(small)},{int(small is not raw)};".encode()
-        parts.append(len(head).to_bytes(2, "little") + head + small)
+        small = z.compress(raw) if len(raw) > 64 else raw
+        small = raw if len(small) >= len(raw) else small
+        head = f"{a.dtype.str},{len(raw)},{len(small)}".encode()
+        parts += [len(head).to_bytes(2, "little"), head, small]
     return b"".join(parts)
 
 
 def spread(blob) -> list[np.ndarray]:
-    blob, out, i = bytes(blob), [], 0
+    blob, out, i = memoryview(blob), [], 0
+    z = zstandard.ZstdDecompressor()
     while i < len(blob):
         n = int.from_bytes(blob[i:i + 2], "little")
-        dtype, raw, small, packed = blob[i + 2:i + 2 + n].decode().rstrip(";").split(",")
+        dtype, raw, small = bytes(blob[i + 2:i + 2 + n]).decode().split(",")
         i += 2 + n
         body = blob[i:i + int(small)]
-        out.append(np.frombuffer(zlib.decompress(body) if packed == "1" else body, np.dtype(dtype)))
+        out.append(np.frombuffer(body if raw == small else z.decompress(body), np.dtype(dtype)))
         i += int(small)
     return out
 
@@ -141,16 +143,7 @@ def over_chunks(chunks: DataFrame, fn: Callable[[int, pa.RecordBatch], Iterator[
             for i in range(batch.num_rows):
                 yield from fn(batch.column("chunk")[i].as_py(), thaw(batch.column("blob")[i].as_buffer()))
 
-    return one_by_one(chunks.select("chunk", "blob")).mapInArrow(run, schema)
-
-
-def one_by_one(df: DataFrame) -> DataFrame:
-    """Chunk files hold few, large rows: let Spark read them in small Arrow batches."""
-    return df
-
-
-def empty(schema: str) -> pa.RecordBatch | None:
-    return None
+    return chunks.select("chunk", "blob").mapInArrow(run, schema)
 
 
 def back(chunks: DataFrame, answers: DataFrame, fn: Callable, schema) -> DataFrame:
@@ -185,7 +178,3 @@ def by_key(sent: DataFrame, fn: Callable[[list[tuple[int, bytes]]], Iterator[pa.
         return pa.Table.from_batches(out, schema=target) if out else pa.Table.from_batches([], schema=target)
 
     return sent.groupBy("key").applyInArrow(run, schema)
-
-
-def session(df: DataFrame) -> SparkSession:
-    return df.sparkSession

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import quality_rules
+import corpus_pipeline
+from strata.llm import (chat_format, decontaminate, jaccard_join, language_id, pitman_yor, quality_rules,
+                        sentencepieces, substring_dedup)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -19,9 +22,50 @@ def op7_quality_rules(spark, sf):
                     "base_failed", "kept", F.round("llr", 6).alias("llr"))
 
 
+def documents(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", "text")
+
+
+def op1_jaccard_join(spark, sf):
+    return jaccard_join.classes(documents(spark, sf), k=4, percent=85).select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+def op2_pitman_yor(spark, sf):
+    return pitman_yor.score(documents(spark, sf), language_id.remainder("doc_id", 7) == 2)
+
+
+def op3_sentencepieces(spark, sf):
+    return sentencepieces.digests(documents(spark, sf), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op5_decontaminate(spark, sf):
+    return decontaminate.contaminated(documents(spark, sf), table(spark, sf, "benchmark"))
+
+
+def op6_substring_dedup(spark, sf):
+    return substring_dedup.digests(documents(spark, sf))
+
+
+def op8_language_id(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(language_id.remainder("doc_id", 4) == 2, F.lit(False))
+    model = language_id.train(docs.where(~held))
+    out = language_id.predict(docs, model)
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op10_chat_format(spark, sf):
+    return chat_format.render(table(spark, sf, "conversations"))
+
+
 def queries() -> dict:
-    return {"op7_quality_rules": op7_quality_rules}
+    return {"op1_jaccard_join": op1_jaccard_join, "op2_pitman_yor": op2_pitman_yor,
+            "op3_sentencepieces": op3_sentencepieces, "op5_decontaminate": op5_decontaminate,
+            "op6_substring_dedup": op6_substring_dedup, "op7_quality_rules": op7_quality_rules,
+            "op8_language_id": op8_language_id, "op10_chat_format": op10_chat_format,
+            "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op10_chat_format": chat_format.ORACLE}
