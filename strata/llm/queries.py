@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import (chat_format, decontaminate, jaccard_join, language_id, pitman_yor, quality_rules,
-                        sentencepieces, substring_dedup)
+from strata.llm import (chat_format, decontaminate, html_extract, jaccard_join, language_id, pitman_yor,
+                        quality_rules, sentencepieces, substring_dedup, toxicity)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -39,6 +39,14 @@ def op3_sentencepieces(spark, sf):
     return sentencepieces.digests(documents(spark, sf), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_toxicity(spark, sf):
+    docs = documents(spark, sf)
+    held = F.coalesce(language_id.remainder("doc_id", 3) == 1, F.lit(False))
+    labels = table(spark, sf, "labels").select("doc_id", "toxic").where(~held)
+    out = toxicity.predict(docs, toxicity.train(docs, labels))
+    return out.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op5_decontaminate(spark, sf):
     return decontaminate.contaminated(documents(spark, sf), table(spark, sf, "benchmark"))
 
@@ -55,15 +63,21 @@ def op8_language_id(spark, sf):
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op9_html_extract(spark, sf):
+    return html_extract.main_text(table(spark, sf, "pages"))
+
+
 def op10_chat_format(spark, sf):
     return chat_format.render(table(spark, sf, "conversations"))
 
 
 def queries() -> dict:
     return {"op1_jaccard_join": op1_jaccard_join, "op2_pitman_yor": op2_pitman_yor,
-            "op3_sentencepieces": op3_sentencepieces, "op5_decontaminate": op5_decontaminate,
+            "op3_sentencepieces": op3_sentencepieces, "op4_toxicity": op4_toxicity,
+            "op5_decontaminate": op5_decontaminate,
             "op6_substring_dedup": op6_substring_dedup, "op7_quality_rules": op7_quality_rules,
-            "op8_language_id": op8_language_id, "op10_chat_format": op10_chat_format,
+            "op8_language_id": op8_language_id, "op9_html_extract": op9_html_extract,
+            "op10_chat_format": op10_chat_format,
             "pipeline": corpus_pipeline.run}
 
 
