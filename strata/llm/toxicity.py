@@ -5,7 +5,9 @@ whole.  Stretches of bytes that are much more frequent (by documents) in one cla
 samples; a zstandard dictionary is trained on them, and both get the same second part, trained on ordinary text.  Each
 window of ``WORDS`` words is compressed with both, after a run of filler that both dictionaries hold (so short windows
 aren't stored raw); the gain is how many bytes shorter the toxic dictionary makes it.  A document's score is a logistic
-function, fitted on features that dictionaries of the other half of the sample gave, of its share of windows with a gain of ``HIT`` bytes or more, of their number and of the best gain; ``predict`` compares it with 0.7.
+function of its share of windows with a gain of ``HIT`` bytes or more, of their number and of the best gain, fitted on
+features that dictionaries of the other half of the sample gave, and scaled so that the cut with the best F1 on those
+features becomes 0.7; ``predict`` compares it with 0.7.
 
 Scoring takes every window of every whole text.  A window that shares no five bytes in a row with the class part of
 the toxic dictionary can't gain from it; its gain is 0 without compressing it.  Rows stay in their partitions; the
@@ -154,8 +156,8 @@ class Compressors:
 
 
 class Model:
-    def __init__(self, parts, base, weight, bias):
-        self.parts, self.base, self.weight, self.bias = parts, base, weight, bias
+    def __init__(self, parts, base, weight, bias, cut=THRESHOLD):
+        self.parts, self.base, self.weight, self.bias, self.cut = parts, base, weight, bias, cut
         self.made = None
 
     def __getstate__(self):                          # compressors are made anew in each worker
@@ -166,7 +168,9 @@ class Model:
             return np.full(len(off) - 1, self.bias)
         if self.made is None:
             self.made = Compressors(self.parts, self.base)
-        return 1 / (1 + np.exp(-np.clip(self.made.features(buf, off) @ self.weight + self.bias, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(self.made.features(buf, off) @ self.weight + self.bias, -30, 30)))
+        # the calibrated cut becomes THRESHOLD, the order stays
+        return np.where(p < self.cut, THRESHOLD * p / self.cut, THRESHOLD + (1 - THRESHOLD) * (p - self.cut) / (1 - self.cut))
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
@@ -203,9 +207,20 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
         made = Compressors(tuple(parts), base)
         x += [made.of(toxic[1 - k::2]), made.of(ordinary[1 - k::2])]
         y += [np.ones(len(x[-2])), np.zeros(len(x[-1]))]
-    weight, bias = logistic(np.concatenate(x), np.concatenate(y))
+    x, y = np.concatenate(x), np.concatenate(y)
+    weight, bias = logistic(x, y)
     *parts, base = parts_of(toxic, ordinary)
-    return Model(tuple(parts), base, weight, bias)
+    return Model(tuple(parts), base, weight, bias, best_cut(1 / (1 + np.exp(-np.clip(x @ weight + bias, -30, 30))), y))
+
+
+def best_cut(p: np.ndarray, y: np.ndarray) -> float:
+    """The probability from which on F1 is best, half way to the next lower one."""
+    order = np.argsort(-p, kind="stable")
+    p, hit = p[order], np.cumsum(y[order])
+    f1 = 2 * hit / (np.arange(1, len(p) + 1) + y.sum())
+    f1[:-1][p[1:] == p[:-1]] = -1                    # equal probabilities are on one side
+    k = int(f1.argmax())
+    return float(np.clip((p[k] + (p[k + 1] if k + 1 < len(p) else p[k])) / 2, 1e-6, 1 - 1e-6))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
