@@ -27,7 +27,7 @@ from strata.llm import tokens as T
 ORDERS = 3
 BUCKETS = 1 << 14
 LANDMARKS = 60
-SAMPLE = 400
+SAMPLE = 200
 RIDGE = 1e-2
 SHARP = 8.0
 UND = "und"
