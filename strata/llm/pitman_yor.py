@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from strata.llm import chunks as C
 from strata.llm import tokens as T
 
-CHUNK = 8 << 20
+CHUNK = 6 << 20
 SWEEPS, SAMPLES = 4, 2
 SPLIT = 1 << 17
 DISCOUNT, STRENGTH = 0.75, 1.0                       # context restaurants
@@ -108,14 +108,10 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text: str = "te
         if len(c.key):
             yield C.deal(chunk, nb, c.key, small(c.count))
 
-    def vocabulary(got):
-        """Distinct names of a word bucket, and the name number of every entry sent to it."""
+    def number(key, got):
         parts = [C.spread(b) for _, b in got]
         names, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        return parts, names, which, np.cumsum([len(p[0]) for p in parts])[:-1]
-
-    def number(key, got):
-        parts, names, which, ends = vocabulary(got)
+        ends = np.cumsum([len(p[0]) for p in parts])[:-1]
         total = np.bincount(which, np.concatenate([p[1] for p in parts]), len(names)).astype(np.int64)
         yield C.send([-1], [-1], [np.array([(total > 0).sum(), total.sum()], np.int64).tobytes()])
         yield C.send([key] * len(parts), [c for c, _ in got],
@@ -202,8 +198,11 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text: str = "te
         sent = [g for g in got if g[0] >= 0]
         if not sent:
             return
-        parts, names, which, ends = vocabulary(sent)
-        sums = np.zeros((2 * SAMPLES, len(names)), np.int64)
+        which = [np.cumsum(C.spread(b)[1].astype(np.int64)) for _, b in sent]       # the numbers this bucket gave out
+        ends = np.cumsum([len(w) for w in which])[:-1]
+        n = max(int(w[-1]) for w in which) + 1
+        which = np.concatenate(which)
+        sums = np.zeros((2 * SAMPLES, n), np.int64)
         for c, blob in got:
             if c < 0:
                 step, *cols = C.spread(blob)
@@ -215,19 +214,19 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text: str = "te
         for s in range(SAMPLES):
             t = np.minimum(sums[s], 1)
             for _ in range(SWEEPS):                  # the bucket is an even share of all words
-                t = seat(rng, sums[s], np.full(len(names), (TOP_STRENGTH + TOP_DISCOUNT * t.sum() * nb) / (n_words + 1)), TOP_DISCOUNT)
+                t = seat(rng, sums[s], np.full(n, (TOP_STRENGTH + TOP_DISCOUNT * t.sum() * nb) / (n_words + 1)),
+                         TOP_DISCOUNT)
             tops.append(t)
         yield C.send([-2], [-1], [np.array([x.sum() for s in range(SAMPLES) for x in (sums[s], tops[s])], np.int64).tobytes()])
         cols = [np.split(x[which], ends) for x in (*sums, *tops)]
         yield C.send([2 * nb + key] * len(parts), [c for c, _ in sent],
                      [C.squeeze(*[small(x[i]) for x in cols]) for i in range(len(parts))])
 
-    sent = C.write_table(C.over_chunks(chunks, send_words, C.SEND), "words")
-    counted = C.write_table(C.by_key(sent, number, C.SEND), "counted")
+    counted = C.write_table(C.by_key(C.over_chunks(chunks, send_words, C.SEND), number, C.SEND), "counted")
     n_words, n_train = totals(counted, -1)
     counts = counted.where("key >= 0")
     seated = C.write_table(C.by_key(C.back(chunks, counts, send_bigrams, C.SEND), seating, C.SEND), "seated")
-    tops = C.write_table(C.by_key(sent.unionByName(seated.where("chunk < 0")), parent, C.SEND), "parent")
+    tops = C.write_table(C.by_key(counts.unionByName(seated.where("chunk < 0")), parent, C.SEND), "parent")
     top = totals(tops, -2, 2 * SAMPLES)
 
     def finish(chunk, rows, got):
