@@ -219,8 +219,8 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text: str = "te
             tops.append(t)
         yield C.send([-2], [-1], [np.array([x.sum() for s in range(SAMPLES) for x in (sums[s], tops[s])], np.int64).tobytes()])
         cols = [np.split(x[which], ends) for x in (*sums, *tops)]
-        yield C.send([2 * nb + key] * len(parts), [c for c, _ in sent],
-                     [C.squeeze(*[small(x[i]) for x in cols]) for i in range(len(parts))])
+        yield C.send([2 * nb + key] * len(sent), [c for c, _ in sent],
+                     [C.squeeze(*[small(x[i]) for x in cols]) for i in range(len(sent))])
 
     counted = C.write_table(C.by_key(C.over_chunks(chunks, send_words, C.SEND), number, C.SEND), "counted")
     n_words, n_train = totals(counted, -1)
