@@ -74,8 +74,14 @@ def standardize_tipo_pedido(c) -> Column:
 
 
 def money_product(qty, price) -> Column:
-    """``qty * price`` keeping scale 9: decimal(10,0) * decimal(27,9) -> decimal(38,9)."""
-    return _c(qty).try_cast("decimal(10,0)") * _c(price).try_cast("decimal(27,9)")
+    """``qty * price`` at scale 9: decimal(18,0) * decimal(19,9) -> decimal(38,9).
+
+    A value that does not fit raises; it never becomes a quiet NULL that sums would leave out.
+    """
+    q, p = _c(qty).try_cast("decimal(18,0)"), _c(price).try_cast("decimal(19,9)")
+    lost = (_c(qty).isNotNull() & q.isNull()) | (_c(price).isNotNull() & p.isNull())
+    message = F.concat(F.lit("money_product out of range: "), _c(qty).cast("string"), F.lit(" * "), _c(price).cast("string"))
+    return F.when(lost, F.raise_error(message).cast("decimal(38,9)")).otherwise(q * p)
 
 
 def differs(a, b, tol: str = schemas.DIVERGENCE_TOLERANCE) -> Column:
@@ -83,10 +89,11 @@ def differs(a, b, tol: str = schemas.DIVERGENCE_TOLERANCE) -> Column:
     return F.abs(_c(a) - _c(b)) > F.lit(tol).cast("decimal(10,2)")
 
 
-def mask_text(c, keep: int = 0) -> Column:
-    """Hide personal text for non-privileged readers.  A SHA-256 digest
-    prefix keeps equal values joinable without revealing them."""
-    digest = F.substring(F.sha2(F.encode(_c(c), "UTF-8"), 256), 1, 16)
+def mask_text(c, key: str) -> Column:
+    """Hide personal text for non-privileged readers.  The full SHA-256
+    digest under a secret key keeps equal values joinable; without the key a
+    guessed value can't be looked up."""
+    digest = F.sha2(F.encode(F.concat(F.lit(key), F.lit("|"), _c(c)), "UTF-8"), 256)
     return F.when(_c(c).isNull(), F.lit(None).cast("string")).otherwise(F.concat(F.lit("***"), digest))
 
 

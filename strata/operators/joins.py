@@ -1,47 +1,22 @@
-"""Dimension joins with a proven size bound before broadcasting."""
+"""Dimension joins; Spark decides from measured sizes whether to broadcast."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Dimensions (units, products, states, countries) stay far below this; a side
-# that does not is joined by shuffle, and AQE may still pick a broadcast at
-# run time from the measured size.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-# Dimension sides that are join results (unit ⟕ state ⟕ country) get no
-# useful size estimate without CBO (a join's estimate is the product of its
-# inputs), so the models check them with this bounded row count instead.
-DIMENSION_MAX_ROWS = DEFAULT_MAX_BROADCAST_ROWS
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(dim)`` only if it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early), so
-    it is cheap for a small side and bounded for a large one.
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
 
 
 def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str], cols: Sequence[str] | None = None,
-           how: str = "left", max_broadcast_rows: int | None = None) -> DataFrame:
+           how: str = "left") -> DataFrame:
     """``df ⟕ dim USING (on)``, keeping ``cols`` of the dimension.
 
-    By default the broadcast decision is Spark's own size check, with no extra
-    job: at planning the dimension's estimated size (an upper bound from its
-    files) is compared with ``spark.sql.autoBroadcastJoinThreshold``; at run
-    time AQE measures the shuffled size and turns a sort-merge join into a
-    broadcast join only below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
-    A dimension above both stays a shuffle join.  ``max_broadcast_rows`` forces
-    the hint after an explicit, bounded row count instead.
+    No hint and no extra job: at planning the dimension's estimated size is
+    compared with ``spark.sql.autoBroadcastJoinThreshold``; at run time AQE
+    measures the shuffled bytes and broadcasts only below its own threshold.
+    Above both it stays a shuffle join.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if cols is not None:
         dim = dim.select(*keys, *[c for c in cols if c not in keys])
-    if max_broadcast_rows is not None:
-        dim = bounded_broadcast(dim, max_broadcast_rows)
     return df.join(dim, keys, how)

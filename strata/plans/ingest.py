@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata import schemas
-from strata.operators.joins import bounded_broadcast
 from strata.sources.landing import json_list
 
 HASH_SCOPE = ("id_unidade", "tipo")
@@ -54,8 +53,8 @@ def plan_files(files: DataFrame, log: DataFrame, forced: DataFrame | None = None
     scope = list(hash_scope)
     m = files.join(loaded_hashes(log, scope), [*scope, "file_hash"], "left")
     if forced is not None:
-        m = m.join(bounded_broadcast(forced.select("id_unidade", "data_ref").distinct()
-                                     .withColumn("_forced", F.lit(True))), ["id_unidade", "data_ref"], "left")
+        m = m.join(forced.select("id_unidade", "data_ref").distinct().withColumn("_forced", F.lit(True)),
+                   ["id_unidade", "data_ref"], "left")
     else:
         m = m.withColumn("_forced", F.lit(None).cast("boolean"))
     seen = F.coalesce(F.col("_seen"), F.lit(False))
@@ -64,14 +63,18 @@ def plan_files(files: DataFrame, log: DataFrame, forced: DataFrame | None = None
     cand = m.filter(F.col("valid") & ~F.col("_seen"))
     first = cand.groupBy(*scope, "file_hash").agg(F.min(F.struct("data_ref", "path"))["path"].alias("_first"))
     m = m.join(first, [*scope, "file_hash"], "left")
+    failed = F.col("read_error").isNotNull() if "read_error" in m.columns else F.lit(False)
     action = (F.when(F.col("_seen") & ~F.col("_forced"), F.lit("SKIP_DUPLICATE"))
+               .when(failed, F.lit("ERROR"))
                .when(~F.col("valid"), F.lit("REJECT"))
                .when(F.col("_forced") | (F.col("path") == F.col("_first")), F.lit("LOAD"))
                .otherwise(F.lit("SKIP_DUPLICATE")))
     m = m.withColumn("action", action)
     m = m.join(max_loaded_versions(log), ["id_unidade", "tipo", "data_ref"], "left")
     is_load = F.col("action") == "LOAD"
-    w = Window.partitionBy("id_unidade", "tipo", "data_ref", is_load).orderBy("path")
+    # only LOAD rows are numbered; the others are spread over window partitions of their own
+    spread = F.when(~is_load, F.xxhash64("path"))
+    w = Window.partitionBy("id_unidade", "tipo", "data_ref", spread).orderBy("path")
     version = F.when(is_load, F.coalesce(F.col("_max_version"), F.lit(0)) + F.row_number().over(w))
     return m.withColumn("file_version", version.cast("bigint")).drop("_seen", "_forced", "_first", "_max_version")
 
@@ -115,6 +118,7 @@ def log_events(plan: DataFrame, batch_id: str, batch_ts: dt.datetime, row_counts
         p = p.withColumn("row_count", F.lit(None).cast("bigint"))
     statuses = (F.when(F.col("action") == "LOAD", F.array(F.lit("STARTED"), F.lit("LOADED")))
                  .when(F.col("action") == "SKIP_DUPLICATE", F.array(F.lit("SKIPPED_DUPLICATE")))
+                 .when(F.col("action") == "ERROR", F.array(F.lit("ERROR")))
                  .otherwise(F.array(F.lit("REJECTED"))))
     errs = F.col("errors") if "errors" in p.columns else F.array().cast("array<string>")
     ev = p.select("path", "file_hash", "id_unidade", "tipo", "data_ref", "file_version", "row_count", "action",
@@ -125,7 +129,7 @@ def log_events(plan: DataFrame, batch_id: str, batch_ts: dt.datetime, row_counts
         F.when(F.col("status") == "LOADED", F.coalesce(F.col("row_count"), F.lit(0).cast("bigint")))
          .alias("row_count"),
         "status", F.lit(batch_id).alias("batch_id"),
-        F.when(F.col("status") == "REJECTED",
+        F.when(F.col("status").isin("REJECTED", "ERROR"),
                F.substring(F.array_join("errors", "; "), 1, schemas.LOG_ERROR_CHARS)).alias("error"),
         F.lit(batch_ts).alias("processed_at"))
     if invalid_names is not None:
@@ -191,7 +195,7 @@ def landing_batch(spark, root: str, log: DataFrame, batch_id: str, batch_ts: dt.
                   source_prefix: str = "") -> dict[str, DataFrame]:
     """One landing run as DataFrames: plan, raw rows per type, log and
     quarantine rows, dispositions and the summary.  Nothing is written here;
-    see ``strata.sinks.storage`` for the commit order."""
+    ``commit_batch`` writes them in the order that makes a replay harmless."""
     from strata.sources.landing import contract_rows, decode_text, scan_landing, validate_files
 
     from strata.session import scratch_path
@@ -211,7 +215,7 @@ def landing_batch(spark, root: str, log: DataFrame, batch_id: str, batch_ts: dt.
     files = valid.join(errors, "path", "left").withColumn(
         "valid", F.coalesce(F.size("errors") == 0, F.lit(False)))
     plan = plan_files(files.select("path", "rel", "id_unidade", "tipo", "data_ref", "file_hash", "valid",
-                                   "errors"),
+                                   "errors", "read_error"),
                       log, forced_pairs(spark, forced), hash_scope).checkpoint()
     counts = records.groupBy("path").agg(F.count(F.lit(1)).alias("row_count"))
     raw = {}
@@ -224,6 +228,28 @@ def landing_batch(spark, root: str, log: DataFrame, batch_id: str, batch_ts: dt.
         "raw": raw,
         "log": log_events(plan, batch_id, batch_ts, counts, invalid),
         "quarantine": quarantine_rows(plan, batch_id, batch_ts, invalid),
-        "disposition": disposition(plan, batch_ts),
+        "disposition": disposition(plan, batch_ts).select("path", "rel", "action", "dest_path").unionByName(
+            invalid.select("path", "rel", F.lit("REJECT").alias("action"),
+                           F.concat(F.lit(f"rejected/{batch_ts:%Y%m%dT%H%M%S}/"), F.col("rel")).alias("dest_path"))),
         "summary": run_summary(plan, invalid),
     }
+
+
+def commit_batch(out: dict[str, DataFrame], base: str, batch_id: str) -> None:
+    """K1, K2, K5, K6: raw rows and quarantine first, the log last.
+
+    Every table has one partition per batch and is overwritten there, so a
+    batch that is run again, or was cut off between raw and log, ends as one
+    run.  Readers (``committed``) see only batches that reached the log.
+    """
+    from strata.sinks import storage
+    for tipo, rows in out["raw"].items():
+        storage.replace_partitions(rows.withColumn("_batch", F.lit(batch_id)), f"{base}/raw_{tipo}", ["_batch"])
+    storage.replace_partitions(out["quarantine"].withColumn("_batch", F.lit(batch_id)), f"{base}/quarantine", ["_batch"])
+    storage.replace_partitions(out["log"].withColumn("_batch", F.lit(batch_id)), f"{base}/log", ["_batch"])
+
+
+def committed(spark, base: str, tipo: str) -> DataFrame:
+    """Raw rows of one type whose batch is in the log."""
+    done = spark.read.parquet(f"{base}/log").select("_batch").distinct()
+    return spark.read.parquet(f"{base}/raw_{tipo}").join(done, "_batch", "left_semi").drop("_batch")

@@ -68,7 +68,9 @@ def scan_landing(spark: SparkSession, root: str, data_ref=None) -> tuple[DataFra
     invalid: path, rel (names outside the layout, quarantined by the caller).
     """
     root_n = _norm_root(root)
-    content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    # only the accepted prefixes: files moved to processed/ or rejected/ are no input again
+    content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .load(root.rstrip("/") + "/{incoming,raw}")
                .select(_norm_path(F.col("path")).alias("path"), "length", "content"))
     listed = spark.createDataFrame([(p,) for p in content.inputFiles()], "path string") \
         .select(_norm_path(F.col("path")).alias("path"))
@@ -118,12 +120,25 @@ def detect_delimiter(text: Column) -> Column:
     return pick.otherwise(F.lit(schemas.DEFAULT_DELIMITER))
 
 
+READ_ERROR = -1          # record number of the one record that tells why a file could not be read
+
+
 def _split_batches(batches, chunk: int = 20_000):
+    csv.field_size_limit(2**31 - 1)              # a long field is data, not an error
     for pdf in batches:
         for path, text, delim in zip(pdf["path"], pdf["text"], pdf["delimiter"]):
             paths, nums, cells = [], [], []
             reader = csv.reader(io.StringIO(text or ""), delimiter=delim)
-            for no, row in enumerate(reader, start=1):
+            no = 0
+            while True:
+                try:
+                    row = next(reader)
+                except StopIteration:
+                    break
+                except csv.Error as ex:              # this file only; the rest of the batch goes on
+                    paths, nums, cells = paths + [path], nums + [READ_ERROR], cells + [[str(ex)]]
+                    break
+                no += 1
                 paths.append(path)
                 nums.append(no)
                 cells.append(row)
@@ -150,9 +165,8 @@ def _quoted_list(arr: Column) -> Column:
 def json_list(arr: Column) -> Column:
     """JSON list text with ``", "`` separators and non-ASCII kept."""
     def q(x):
-        esc = F.regexp_replace(F.regexp_replace(x, r"\\", r"\\\\"), '"', '\\\\"')
-        esc = F.regexp_replace(F.regexp_replace(esc, "\n", "\\\\n"), "\t", "\\\\t")
-        return F.concat(F.lit('"'), F.regexp_replace(esc, "\r", "\\\\r"), F.lit('"'))
+        text = F.to_json(F.array(x))             # ["..."] with every control character escaped
+        return F.substring(text, 2, F.length(text) - 2)
     return F.concat(F.lit("["), F.array_join(F.transform(arr, q), ", "), F.lit("]"))
 
 
@@ -171,8 +185,10 @@ def validate_files(m: DataFrame, max_errors: int = schemas.MAX_ERRORS_PER_FILE,
     """V1-V6 over decoded files.
 
     ``m``: path, tipo, id_unidade, text.  Returns ``(file_errors, records)``:
-    file_errors = path, errors (ordered messages, empty when the file is
-    valid), header (canonical names); records = data records of every file
+    file_errors = path, errors (ordered messages, the first ``max_errors`` of
+    them, empty when the file is valid), n_errors (of all), header (canonical
+    names), read_error (why a file could not be read; such a file is ERROR and
+    its batch goes on); records = data records of every file
     (path, record_no, cells) for the caller to keep for valid files only.
     ``materialize`` (DataFrame -> DataFrame) may store the split records once
     (e.g. as a table in the shared folder) so both outputs reuse one parse.
@@ -208,6 +224,7 @@ def validate_files(m: DataFrame, max_errors: int = schemas.MAX_ERRORS_PER_FILE,
     data = data.withColumn("blank", blank)
     bad = data.filter(~F.col("blank") & (F.size("cells") != F.col("n_cols")))
     w = Window.partitionBy("path").orderBy("record_no")
+    bad_count = bad.groupBy("path").agg(F.count(F.lit(1)).alias("n_bad"))
     first_bad = (bad.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= max_errors)
                  .select("path", "record_no", F.format_string("linha %d: %d colunas (esperado %d)", "record_no",
                                                               F.size("cells"), "n_cols").alias("msg")))
@@ -220,26 +237,27 @@ def validate_files(m: DataFrame, max_errors: int = schemas.MAX_ERRORS_PER_FILE,
     pos = F.size("header") - F.array_position(F.reverse("header"), F.lit("Id_Unidade")) + 1   # last wins
     units = good.select("path", "id_unidade", C.clean(F.try_element_at("cells", pos.cast("int"))).alias("u")) \
         .distinct()
-    # Message text is cut to 5000 characters downstream; 1000 sorted ids
-    # always exceed that, so keeping the first 1000 gives the same text.
-    wu = Window.partitionBy("path").orderBy("u")
-    unit_set = (units.withColumn("_k", F.row_number().over(wu))
-                .groupBy("path", "id_unidade")
-                .agg(F.count(F.lit(1)).alias("n_units"),
-                     F.array_sort(F.collect_list(F.when(F.col("_k") <= 1000, F.col("u")))).alias("units"),
+    unit_set = (units.groupBy("path", "id_unidade")
+                .agg(F.array_sort(F.collect_list("u")).alias("units"),
                      F.max(F.col("u") != F.col("id_unidade").cast("string")).alias("differs")))
     unit_err = unit_set.filter(F.col("differs")).select(
         "path", F.format_string("Id_Unidade do conteúdo %s diverge do caminho (%d)",
                                 _quoted_list(F.col("units")), F.col("id_unidade")).alias("unit_error"))
 
-    out = (hdr.join(width_errors, "path", "left").join(unit_err, "path", "left"))
+    failed = recs.filter(F.col("record_no") == READ_ERROR).select("path", F.col("cells")[0].alias("read_error"))
+    out = (hdr.join(width_errors, "path", "left").join(bad_count, "path", "left").join(unit_err, "path", "left")
+           .join(failed, "path", "left"))
     we = F.coalesce(F.col("width_errors"), F.array().cast("array<string>"))
-    errors = (F.when(F.col("is_empty"), F.array(F.lit(schemas.MSG_EMPTY)))
+    errors = (F.when(F.col("read_error").isNotNull(), F.array("read_error"))
+               .when(F.col("is_empty"), F.array(F.lit(schemas.MSG_EMPTY)))
                .when(F.size("schema_errors") > 0, F.col("schema_errors"))
                .when(F.size(we) > 0, we)
                .when(F.col("unit_error").isNotNull(), F.array(F.col("unit_error")))
                .otherwise(F.array().cast("array<string>")))
-    file_errors = out.select("path", errors.alias("errors"), "header")
+    shown = F.size(errors)
+    file_errors = out.select("path", errors.alias("errors"), "header", "read_error",
+                             F.when((shown > 0) & (errors == we), F.col("n_bad")).otherwise(shown.cast("long"))
+                             .alias("n_errors"))
     records = data.filter(~F.col("blank") & (F.size("cells") == F.col("n_cols"))).select(
         "path", "record_no", "cells", "header")
     return file_errors, records

@@ -2,13 +2,15 @@
 
 ``Trigger.AvailableNow`` processes everything new since the last checkpoint
 and stops, which is the daily-run shape; ``foreachBatch`` calls the same
-batch functions as the batch path, and the deterministic load ids plus the
-ingestion log make a replayed micro-batch a no-op.
+batch functions as the batch path.  ``log_stream`` writes each micro-batch to
+a partition named by its checkpoint and number and overwrites it there, so a
+replayed micro-batch changes nothing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,15 +33,23 @@ def run_available_now(stream: DataFrame, handler: Callable[[DataFrame, int], Non
 
 def log_stream(spark: SparkSession, source_dir: str, schema, to_log: Callable[[DataFrame], DataFrame],
                table: str, checkpoint: str, by=("_day",), glob: str = "*.parquet") -> None:
-    """Stream parquet event files of a folder into an append-only log table,
-    one append per micro-batch (partitioned by day)."""
+    """Stream parquet event files of a folder into a log table, one partition
+    per micro-batch and day."""
     stream = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(source_dir)
 
+    run_available_now(stream, log_handler(to_log, table, checkpoint, by), checkpoint)
+
+
+def log_handler(to_log: Callable[[DataFrame], DataFrame], table: str, checkpoint: str,
+                by=("_day",)) -> Callable[[DataFrame, int], None]:
+    """The handler of ``log_stream``: called twice for one epoch it writes the same partition twice."""
+    source = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
     def handle(batch: DataFrame, epoch: int) -> None:
-        rows = to_log(batch)
-        storage.append(rows.withColumn("_day", F.to_date("processed_at")), table, list(by))
+        rows = to_log(batch).withColumns({"_day": F.to_date("processed_at"), "_batch": F.lit(f"{source}-{epoch}")})
+        storage.replace_partitions(rows, table, ["_batch", *by])
 
-    run_available_now(stream, handle, checkpoint)
+    return handle
 
 
 def ingest_stream(spark: SparkSession, root: str, checkpoint: str, on_batch: Callable[[DataFrame, int], None],

@@ -59,5 +59,6 @@ def test_differs_three_valued(spark):
 
 
 def test_mask_text(spark):
-    out = _one(spark, C.mask_text, ["Rua A, 1", None])
-    assert out[0].startswith("***") and "Rua" not in out[0] and out[1] is None
+    out = _one(spark, lambda c: C.mask_text(c, "k1"), ["Rua A, 1", None])
+    assert out[0].startswith("***") and len(out[0]) == 3 + 64 and out[1] is None
+    assert _one(spark, lambda c: C.mask_text(c, "k2"), ["Rua A, 1"])[0] != out[0]

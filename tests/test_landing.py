@@ -127,3 +127,61 @@ def test_scan_handles_readme_layout(spark, tmpdir_path):
     assert [(r["tipo"], r["id_unidade"], r["data_ref"]) for r in valid.collect()] == \
         [("pedido", 12, dt.date(2026, 10, 7))]
     assert invalid.count() == 1
+
+
+def test_one_unreadable_file_does_not_end_the_batch(spark, tmpdir_path):
+    root, p = tmpdir_path, "incoming/pedido/id_unidade="
+    good = HDR_P + "\n12;1;Loja Online;07/10/2026;1;;;Pendente\n"
+    _write(root, p + "12/dt=2026-10-07/good.csv", good)
+    _write(root, p + "13/dt=2026-10-07/cr.csv", HDR_P + "\n13;1;Loja\rOnline;07/10/2026;1;;;Pendente\n")
+    _write(root, p + "14/dt=2026-10-07/long.csv",
+           HDR_P + f"\n14;1;Loja Online;07/10/2026;1;{'x' * 140_000};;Pendente\n")
+    _write(root, p + "15/dt=2026-10-07/wide.csv", HDR_P + "\n15;1\n" * 30)
+    _write(root, "processed/pedido/id_unidade=12/dt=2026-10-07/v1_a_good.csv", good)
+    _write(root, "rejected/x/incoming/bad.csv", good)
+    _write(root, "incoming/pedido/nowhere.csv", good)
+    out = _run(spark, root)
+    names = {r["path"].rsplit("/", 1)[1]: r["action"] for r in out["plan"].collect()}
+    assert names == {"good.csv": "LOAD", "cr.csv": "ERROR", "long.csv": "LOAD", "wide.csv": "REJECT"}
+    assert {r["Id_Unidade"] for r in out["raw"]["pedido"].collect()} == {"12", "14"}
+    log = {r["file_path"].rsplit("/", 1)[1]: (r["status"], r["error"]) for r in out["log"].collect() if r["status"] != "STARTED"}
+    assert log["cr.csv"][0] == "ERROR" and log["cr.csv"][1]
+    assert log["nowhere.csv"][0] == "REJECTED" and len(log) == 5          # nothing of processed/ or rejected/
+    dest = {r["path"].rsplit("/", 1)[1]: r["dest_path"] for r in out["disposition"].collect()}
+    assert dest["nowhere.csv"] == "rejected/20261008T060000/incoming/pedido/nowhere.csv"
+
+
+def test_every_unit_is_reported(spark, tmpdir_path):
+    rows = "".join(f"{u};{u};Loja Online;07/10/2026;1;;;Pendente\n" for u in range(100, 2600))
+    _write(tmpdir_path, "incoming/pedido/id_unidade=12/dt=2026-10-07/u.csv", HDR_P + "\n" + rows)
+    message = _run(spark, tmpdir_path)["plan"].first()["errors"][0]
+    assert all(f"'{u}'" in message for u in (100, 1500, 2599))
+
+
+def test_errors_are_counted_in_full(spark):
+    from strata.sources.landing import validate_files
+    text = HDR_P + "\n" + "1;2\n" * 50
+    df = spark.createDataFrame([("p", "pedido", 1, text)], "path string, tipo string, id_unidade long, text string")
+    r = validate_files(df)[0].first()
+    assert r["n_errors"] == 50 and len(r["errors"]) == schemas.MAX_ERRORS_PER_FILE
+
+
+def test_details_are_valid_json(spark):
+    import json
+    from strata.sources.landing import json_list
+    values = ["a\u0001b", 'q"uo\\te', "né\n\t"]
+    got = spark.createDataFrame([(values,)], "a array<string>").select(json_list(F.col("a"))).first()[0]
+    assert json.loads(got) == values and "é" in got
+
+
+def test_commit_survives_crash_and_replay(spark, tmpdir_path):
+    root, base = tmpdir_path + "/in", tmpdir_path + "/out"
+    _write(root, "incoming/pedido/id_unidade=12/dt=2026-10-07/a.csv", HDR_P + "\n12;1;Loja Online;07/10/2026;1;;;Pendente\n")
+    out = _run(spark, root)
+    from strata.sinks import storage
+    half = out["raw"]["pedido"].withColumn("_batch", F.lit("half"))       # cut off before its log
+    storage.replace_partitions(half, base + "/raw_pedido", ["_batch"])
+    for _ in range(2):
+        I.commit_batch(out, base, "batch1")
+    assert I.committed(spark, base, "pedido").count() == 1
+    assert spark.read.parquet(base + "/log").count() == 2
