@@ -2,16 +2,17 @@
 
 Fitting uses a bounded sample: at most ``SAMPLE`` labelled documents of each class, those of the lowest id hash, read
 whole.  Stretches of bytes that are much more frequent (by documents) in one class than in the other are that class's
-samples; a zstandard dictionary is trained on them, and both get the same second part, trained on ordinary text.  Each
+samples: n-grams of at least ``LEAST`` documents whose log-likelihood ratio is ``SURE`` or more, so that a mark of a small
+language or a rare kind counts however small its share of the toxic documents is.  A zstandard dictionary is trained on them, and both get the same second part, trained on ordinary text.  Each
 window of ``WORDS`` words is compressed with both, after a run of filler that both dictionaries hold (so short windows
 aren't stored raw); the gain is how many bytes shorter the toxic dictionary makes it.  A document's score is a logistic
 function of its share of windows with a gain of ``HIT`` bytes or more, of their number and of the best gain, fitted on
 features that dictionaries of the other half of the sample gave, and scaled so that the cut with the best F1 on those
 features becomes 0.7; ``predict`` compares it with 0.7.
 
-Scoring takes every window of every whole text.  A window that shares no five bytes in a row with the class part of
-the toxic dictionary can't gain from it; its gain is 0 without compressing it.  Rows stay in their partitions; the
-model (two dictionaries of some kB and four numbers) has a fixed size.
+Scoring takes every window of every whole text.  A typical stretch has at least ``GRAM`` bytes; a window that
+shares no ``GRAM`` bytes in a row with the class part of the toxic dictionary holds none, and its gain is 0 without
+compressing it.  Rows stay in their partitions; the model (two dictionaries of some kB and four numbers) has a fixed size.
 
 Defined results: a null or blank text scores as a text without windows; repeated rows are scored each; null ids are
 scored and never learned from; without labels of both classes every score is the share of toxic labels (0 without any);
@@ -32,11 +33,11 @@ from strata.llm import tokens as T
 
 SAMPLE = 1500
 WORDS = 3
-GRAM, LEAST_SHARE, RATIO = 6, 0.03, 8.0
-CLASS_BYTES, BASE_BYTES = 2048, 8192
+GRAM, LEAST, SURE, RATIO = 6, 3, 10.83, 3.0         # SURE: 1 in 1,000 of chi-squared with one degree of freedom
+CLASS_BYTES, BASE_BYTES = 16384, 8192
 FILLER = b"\x01" * 1000
 HIT = 2
-LOOK = 5                                             # bytes in a row
+LOOK = GRAM                                          # bytes in a row
 BITS = 1 << 20
 THRESHOLD = 0.7
 PLAIN = T.LOWER.copy()
@@ -68,13 +69,24 @@ def count(table, x: np.ndarray) -> np.ndarray:
     return np.where(names[at] == x, n[at], 0)
 
 
+def likelihood_ratio(a: np.ndarray, b: np.ndarray, n: int, m: int) -> np.ndarray:
+    """Dunning's G of a of n documents against b of m."""
+    def part(k, share, size):
+        expect = share * size
+        return k * np.log(np.where(k > 0, k, 1) / np.where(k > 0, expect, 1))
+
+    share = (a + b) / (n + m)
+    return 2 * (part(a, share, n) + part(n - a, 1 - share, n) + part(b, share, m) + part(m - b, 1 - share, m))
+
+
 def stretches(texts: list[bytes], own, other, n_own: int, n_other: int, ratio: float) -> list[bytes]:
     """Parts of texts covered by n-grams that are typical of their class."""
     out = []
     for t in texts:
         g = grams(t, GRAM)
-        a = count(own, g)
-        on = (a >= max(3, LEAST_SHARE * n_own)) & ((a + 0.5) / (n_own + 1) > ratio * (count(other, g) + 0.5) / (n_other + 1))
+        a, b = count(own, g), count(other, g)
+        on = ((a >= LEAST) & ((a + 0.5) / (n_own + 1) > ratio * (b + 0.5) / (n_other + 1))
+              & (likelihood_ratio(a, b, n_own, n_other) >= SURE))
         at = np.flatnonzero(on)
         if len(at):
             edge = np.zeros(len(t) + 1, np.int64)

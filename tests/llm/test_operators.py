@@ -331,6 +331,24 @@ def test_toxicity(spark):
     assert {r["score"] for r in toxicity.predict(df, empty).collect()} == {0.0}
 
 
+def test_toxicity_learns_rare_marks():
+    def texts(n, seed, marks=()):
+        out = []
+        for i in range(n):
+            w = prose(60, seed + i).split()
+            for k in (5, 20, 33, 50) if marks else ():
+                w[k] = marks[(i + k) % len(marks)]
+            out.append(" ".join(w))
+        return out
+
+    rare = texts(6, 7000, ["zorkquam", "plixwump"])             # 2.4 % of the toxic documents
+    model = toxicity.fit(texts(244, 5000, ["vilewretch", "foulscum", "dirtfiend"]) + rare, texts(1000, 3000))
+    assert b"zorkquam" in model.parts[1] and b"plixwump" in model.parts[1]
+    scores = lambda some: model.scores(*toxicity.T.buffers(toxicity.pa.array(some)))
+    assert (scores(texts(10, 8000, ["zorkquam", "plixwump"])) >= 0.7).all()
+    assert (scores(texts(100, 9000)) < 0.7).mean() >= 0.95
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; x</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/">Home</a></li><li><a href="/b">B</a></li></ul></nav><!-- <p>no</p> --><div class="cookie-notice">We use
 cookies</div><div class="ad">Buy</div><article><header><h1>%s</h1></header><p>First   &eacute;&nbsp;%d
