@@ -14,7 +14,7 @@ pages sends a few rows per task; wrappers have the size of a template.  Pages me
 host that Spark splits where a host is hot, and are extracted one by one after it.
 
 Defined results: null or empty html gives an empty text; pages with a null url share one wrapper; broken or cut markup is
-read as far as it goes; repeated rows are extracted each; null ids are carried along; other columns are ignored.
+read as far as it goes (a button, svg or the like that isn't closed, or closed in itself, ends at its tag); repeated rows are extracted each; null ids are carried along; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 
 TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)"""
-    r"""|<(script|style|noscript|template|textarea|select|svg|iframe|object|title|button|canvas)\b[^>]*>.*?(?:</\1\s*>|\Z)"""
-    r"""|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[a-z/!?][^>]*(?:>|\Z)""", re.S | re.I)
+    r"""|<(script|style|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"""
+    r"""|<(?P<skip>noscript|template|select|svg|iframe|object|button|canvas)\b[^>]*(?<!/)>(?:(?!<(?P=skip)\b|</?(?:article|main|body)\b).)*?</(?P=skip)\s*>"""
+    r"""|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*)>|<[a-z/!?][^>]*(?:>|\Z)""", re.S | re.I)
+ALONE = frozenset("noscript template select svg iframe object button canvas".split())   # here: not closed, or closed in itself
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 # Elements that stand inside a line, elements without content, and names of parts that aren't the article.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
@@ -47,6 +49,7 @@ OUT_WORDS = frozenset("ad ads advert adverts advertisement sponsored sponsor pro
                       "signup login comment comments reply replies respond discussion form search pagination pager "
                       "copyright legal disclaimer toolbar".split())
 IN_WORDS = frozenset("article post entry story content main".split())
+MODIFIERS = frozenset("no not has have with without is show hide".split())   # has-comments is no comment
 WORD = re.compile(r"[a-z]+")
 
 
@@ -76,18 +79,20 @@ def blocks(page: str) -> list[tuple[str, str, float]]:
     for m in TAG.finditer(page):
         say(page[at:m.start()])
         at = m.end()
-        tag = m.group(3)
+        tag = m.group("tag")
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in ALONE:
+            continue
         if tag in INLINE:
             if tag == "a":
-                link = 0 if m.group(2) else 1
+                link = 0 if m.group("close") else 1
             elif tag == "br":
                 text.append(" ")
             continue
         flush()
-        if m.group(2):
+        if m.group("close"):
             if any(t == tag for t, _ in stack):
                 while stack.pop()[0] != tag:
                     pass
@@ -97,8 +102,8 @@ def blocks(page: str) -> list[tuple[str, str, float]]:
                 stack.pop()
             if tag not in VOID:
                 key = tag
-                if m.group(4):
-                    named = sorted(f"{a[0].lower()}={(a[1] or a[2] or a[3]).lower()}" for a in ATTRIBUTE.findall(m.group(4)))
+                if m.group("rest"):
+                    named = sorted(f"{a[0].lower()}={(a[1] or a[2] or a[3]).lower()}" for a in ATTRIBUTE.findall(m.group("rest")))
                     key = " ".join([tag, *named]).replace("/", "|")
                 stack.append((tag, key))
         path = "/".join(k for _, k in stack)
@@ -165,13 +170,25 @@ def align(wrapper: list[list], other: list[list]) -> list[list]:
     return folded
 
 
+def part_words(named: list[str], inside: bool) -> set[str]:
+    """Words of the classes and ids of an element that can name a part; a header of an article is one of its own."""
+    out = set()
+    for token in named:
+        words = WORD.findall(token.partition("=")[2] if token.startswith(("class=", "id=", "role=")) else token)
+        if "layout" not in words:
+            own = inside or IN_WORDS & set(words)
+            out.update(w for v, w in zip(["", *words], words) if v not in MODIFIERS and not (own and w == "header"))
+    return out
+
+
 def outside(path: str) -> bool:
-    """Whether a path names a part that isn't the article (a header inside an article is one of its own)."""
+    """Whether a path names a part that isn't the article (classes of a whole page name none)."""
     inside = False
     for key in path.split("/"):
         tag, *named = key.split(" ")
-        words = set(WORD.findall(" ".join(named).partition("class=")[2] + " " + " ".join(n for n in named if "class=" not in n)))
-        if words & OUT_WORDS or (tag in OUT_TAGS and not (inside and tag == "header")):
+        if tag in ("html", "body"):
+            continue
+        if part_words(named, inside) & OUT_WORDS or (tag in OUT_TAGS and not (inside and tag == "header")):
             return True
         inside = inside or tag == "article"
     return False

@@ -370,6 +370,18 @@ def test_html_extract(spark):
         assert r["text"] == want and r["n_chars"] == len(want)
 
 
+def test_html_classes_and_unclosed_tags():
+    def text(page):
+        found = html_extract.blocks(page)
+        return [t for path, t, _ in found if not html_extract.outside(path) and html_extract.holds(path)]
+
+    inner = "<div class='article-header'><h1>Title</h1></div><p>One</p><svg width='1'/><p>Two</p><button>Like<p>Three</p>"
+    for body, wrap, art in (("single no-sidebar", "main-area", "x"), ("x", "layout with-sidebar", "x"), ("x", "x", "post has-comments")):
+        page = f"<body class='{body}'><div class='{wrap}'><article class='{art}'>{inner}</article></div><div class='sidebar'>no</div>"
+        assert [t for t in text(page) if t != "Like"] == ["Title", "One", "Two", "Three"]
+    assert text("<article><p>a</p><button>Share</button><svg><text>s</text></svg><p>b</p><div class='comments'>c</div></article>") == ["a", "b"]
+
+
 def test_wrapper_alignment():
     items = lambda s: [[c, 0, 0, 1, 0] for c in s]
     got = html_extract.align(items("abd"), items("acd"))
