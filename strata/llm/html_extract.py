@@ -1,17 +1,22 @@
 """Main text of web pages by wrapper inference.
 
-A page is a stream of text blocks, each under a path of block elements (tag, id and classes).  Runs of blocks with one
-path are a repeated group, so a page's skeleton is a union-free regular expression over paths.  The wrapper of a host is
-grown from the skeletons of all its pages: a skeleton is aligned with the wrapper (longest common subsequence); what both
-have is kept, repeated if it is in either; what only one has becomes optional.  A block place whose text is the same on
-every page is template text, the others are text slots.  Slots are then labelled: an article (or the main part, where a
-host has no article) is content, except for parts that paths, ids or classes name as menus, headers, footers, sidebars,
-notices, adverts, forms or comments; outside of it nothing is, and a host without either keeps its text slots that aren't
-mostly links.  Pages are read with the labels of their host's wrapper.
-
-Scale: a task reduces its pages to (host, skeleton) rows without text before the shuffle, so a host with a third of all
-pages sends a few rows per task; wrappers have the size of a template.  Pages meet their wrapper in an equi-join on the
-host that Spark splits where a host is hot, and are extracted one by one after it.
+A page is a stream of text blocks, each under a path of block elements (tag, id and classes, words with digits in id and class
+are one).
+Runs of blocks with one path are a repeated group, so a page is a union-free regular expression over paths.  The wrapper of
+a host holds what its different pages (repeated pages count once) say of a path: on how many pages it is (optional, if not
+on all), whether it is repeated, whether it is all links, and whether its text is always the same.  Template is
+
+* a path that is never repeated and has the same text on all its pages, at least ``LEAST`` and ``SOME`` of the host's;
+* a text that ``MANY`` pages and more than half of the host's have under one path;
+* a repeated path of nothing but links on ``MANY`` pages and more than half of the host's.
+
+Tag names, classes and ids are a prior on the rest: a page's article (or main part, where it has no article) is content,
+except for parts named as menus, headers, footers, sidebars, notices, adverts, forms or comments; a page without either keeps its
+blocks that aren't links.  An article of nothing but template stays (a page that was put up several times).
+
+Scale: a task turns each page into slim rows (host, path hash, text hash, page hash) without text; they are counted with
+ordinary aggregates, which no hot host makes large.  A page meets only its host's labels: hashes of template and of link
+paths, whose number the shares above bound by a multiple of the blocks of one page.  Pages are extracted one by one.
 
 Defined results: null or empty html gives an empty text; pages with a null url share one wrapper; broken or cut markup is
 read as far as it goes (a button, svg or the like that isn't closed, or closed in itself, ends at its tag); repeated rows are extracted each; null ids are carried along; other columns are ignored.
@@ -19,8 +24,8 @@ read as far as it goes (a button, svg or the like that isn't closed, or closed i
 
 from __future__ import annotations
 
+import hashlib
 import html
-import json
 import re
 import zlib
 
@@ -28,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm import chunks as C
+
 TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)"""
     r"""|<(script|style|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"""
@@ -51,6 +58,8 @@ OUT_WORDS = frozenset("ad ads advert adverts advertisement sponsored sponsor pro
 IN_WORDS = frozenset("article post entry story content main".split())
 MODIFIERS = frozenset("no not has have with without is show hide".split())   # has-comments is no comment
 WORD = re.compile(r"[a-z]+")
+NUMBERED = re.compile(r"[a-z0-9]*[0-9][a-z0-9]*")   # post-123, post-4f0c
+LEAST, MANY, SOME = 3, 10, 0.05                      # pages of a host; a share of them
 
 
 def blocks(page: str) -> list[tuple[str, str, float]]:
@@ -206,60 +215,80 @@ def holds(path: str) -> int:
     return most
 
 
-def labels(wrapper: list[list], pages: int) -> dict[str, int]:
-    """Of each path of a wrapper: 2 article, 1 main part, 0 a text slot elsewhere; paths that are no content are absent."""
-    out = {}
-    for path, _, _, mark, links in wrapper:
-        if outside(path):
-            continue
-        level = holds(path)
-        if level or not ((mark and pages > 2) or links):
-            out[path] = max(level, out.get(path, 0))
-    return out
+def name(*parts: str) -> int:
+    return int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True) or 1
+
+
+def path_name(path: str) -> int:
+    keys = (key.partition(" ") for key in path.split("/"))
+    return name("/".join(f"{tag} {NUMBERED.sub('#', named)}" for tag, _, named in keys))
 
 
-def extract(page: str | None, content: dict[str, int]) -> str:
+def facts(found: list[tuple[str, str, float]]) -> list[tuple[int, int, int, int]]:
+    """(path, text, blocks, whether all are links) of a page: one for each path and text, and with text 0 each path."""
+    out: dict[tuple[int, int], list] = {}
+    for path, text, links in found:
+        p = path_name(path)
+        for key in ((p, name(text)), (p, 0)):
+            was = out.setdefault(key, [0, 1])
+            was[0] += 1
+            was[1] = min(was[1], int(links > 0.6))
+    return [(p, t, n, link) for (p, t), (n, link) in out.items()]
+
+
+def extract(page: str | None, drop: set, linked: set[int], mixed: set[int]) -> str:
     """The text of a page by its host's labels: the best kind of part that the page has."""
     if not page:
         return ""
-    found = [(content.get(path, -1), text) for path, text, _ in blocks(page)]
-    best = max((level for level, _ in found), default=-1)
-    return "\n".join(text for level, text in found if level == best) if best >= 0 else ""
+    found = [(holds(path), path_name(path), path, text, links) for path, text, links in blocks(page) if not outside(path)]
+    varies = [x for x in found if x[0] or not (x[1] in drop or (x[1], name(x[3])) in drop)]
+    for some in (varies, found):
+        best = max((x[0] for x in some), default=0)
+        if best:
+            return "\n".join(x[3] for x in some if x[0] == best)
+    own: dict[int, bool] = {}                        # paths too rare on the host for a label
+    for _, p, _, _, links in varies:
+        own[p] = own.get(p, True) and links > 0.6
+    return "\n".join(x[3] for x in varies if not (x[1] in linked or (x[1] not in mixed and own[x[1]])))
 
 
 def wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """(host, n_pages, wrapper): one row per host, the wrapper as JSON items [path, optional, repeated, mark, links]."""
+    """(host, paths, texts, linked, mixed): hashes of a host's template paths and texts, link paths and other frequent paths."""
 
-    def reduce_pages(batches):
-        seen: dict[tuple[str, str], list] = {}
+    def run(batches):
         for b in batches:
+            rows: list[tuple] = []
             for host, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                items = skeleton(blocks(text or ""))
-                key = (host, "\n".join(i[0] for i in items))
-                if key in seen:
-                    seen[key][0] += 1
-                    seen[key][1] = align(seen[key][1], items)
-                else:
-                    seen[key] = [1, items]
-        if seen:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in seen], pa.string()), pa.array([v[0] for v in seen.values()], pa.int64()),
-                 pa.array([json.dumps(v[1]) for v in seen.values()], pa.string())], names=["host", "n", "w"])
-
-    def grow(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(table.column("w").to_pylist(), table.column("n").to_pylist()))
-        whole: list[list] = []
-        first = True
-        for w, _ in sorted(rows, key=lambda r: (-r[1], r[0])):
-            whole = json.loads(w) if first else align(whole, json.loads(w))
-            first = False
-        return pa.table({"host": pa.array([table.column("host")[0].as_py()], pa.string()),
-                         "n_pages": pa.array([sum(n for _, n in rows)], pa.int64()),
-                         "wrapper": pa.array([json.dumps(whole)], pa.string())})
-
-    small = pages.select(host_of(url).alias("host"), F.col(page).alias("html")).mapInArrow(
-        reduce_pages, "host string, n long, w string")
-    return small.groupBy("host").applyInArrow(grow, "host string, n_pages long, wrapper string")
+                found = blocks(text or "")
+                which = name(*(x for path, t, _ in found for x in (path, t)))
+                rows += [(host, p, t, which, n, link) for p, t, n, link in facts(found)]
+                rows.append((host, 0, 0, which, 1, 0))
+            cols = list(zip(*rows)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])],
+                                             names=["host", "path", "text", "page", "n", "link"])
+
+    rows = pages.select(host_of(url).alias("host"), F.col(page).alias("html")).mapInArrow(
+        run, "host string, path long, text long, page long, n long, link long")
+    once = rows.groupBy("host", "path", "text", "page").agg(F.max("n").alias("n"), F.min("link").alias("link"))
+    texts = once.groupBy("host", "path", "text").agg(F.count("*").alias("on"), F.sum("n").alias("blocks"), F.min("link").alias("link"))
+    path = F.col("text") == 0
+    texts = C.write_table(texts.where(path | (F.col("on") >= LEAST)), "wrappers")   # pages are read once for all that follows
+    # one row per path, with the pages of its most frequent text: the same text on all of them is a constant
+    by_path = texts.groupBy("host", "path").agg(
+        F.max(F.when(path, F.col("on"))).alias("on"), F.max(F.when(path, F.col("blocks"))).alias("blocks"),
+        F.min("link").alias("link"), F.max(F.when(~path, F.col("on"))).alias("same"))
+    whole = by_path.where("path = 0").select("host", F.col("on").alias("pages"))
+    known = by_path.where("path <> 0").join(whole, "host")
+    some = F.col("on") >= SOME * F.col("pages")
+    most = (F.col("on") >= MANY) & (2 * F.col("on") > F.col("pages"))
+    constant = some & (F.col("on") >= LEAST) & (F.col("same") == F.col("on")) & (F.col("blocks") == F.col("on"))
+    listed = most & (F.col("link") == 1) & (F.col("blocks") > F.col("on"))
+    often = texts.where(~path & (F.col("on") >= MANY)).join(whole, "host").where(most).groupBy("host").agg(
+        F.collect_list(F.struct("path", "text")).alias("texts"))
+    return known.where(some).groupBy("host").agg(
+        F.collect_list(F.when(constant | listed, F.col("path"))).alias("paths"),
+        F.collect_list(F.when(F.col("link") == 1, F.col("path"))).alias("linked"),
+        F.collect_list(F.when(F.col("link") == 0, F.col("path"))).alias("mixed")).join(often, "host", "left")
 
 
 def host_of(url: str):
@@ -272,19 +301,15 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url: str = "url", page:
     """(id, url, text, n_chars) of every page."""
     by_host = wrappers(pages, url, page)
     rows = pages.select(F.col(id_col), F.col(url), F.col(page).alias("html"), host_of(url).alias("host"))
-    joined = rows.join(by_host, "host", "left").select(id_col, url, "html", "n_pages", "wrapper")
+    joined = rows.join(by_host, "host", "left").select(id_col, url, "html", "paths", "texts", "linked", "mixed")
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        known: dict[tuple, dict] = {}
         for b in batches:
             texts = []
-            for h, n, w in zip(*(b.column(i).to_pylist() for i in (2, 3, 4))):
-                if (n, w) not in known:
-                    if len(known) > 1000:            # a cache of labels, not a limit on hosts
-                        known.clear()
-                    known[(n, w)] = labels(json.loads(w), n) if w else {}
-                texts.append(extract(h, known[(n, w)]))
+            for h, paths, frequent, linked, mixed in zip(*(b.column(i).to_pylist() for i in range(2, 7))):
+                drop = {*(paths or ()), *((x["path"], x["text"]) for x in frequent or ())}
+                texts.append(extract(h, drop, set(linked or ()), set(mixed or ())))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=[id_col, url, "text", "n_chars"])

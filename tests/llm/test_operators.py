@@ -382,6 +382,23 @@ def test_html_classes_and_unclosed_tags():
     assert text("<article><p>a</p><button>Share</button><svg><text>s</text></svg><p>b</p><div class='comments'>c</div></article>") == ["a", "b"]
 
 
+def template_pages(n):
+    r = random.Random(12)
+    rows = []
+    for i in range(n):
+        parts = [f"<p>{prose(12, 100 * i + k)}</p>" if r.random() < 0.6 else f"<h2>{prose(3, 100 * i + k)}</h2>" for k in range(6)]
+        rows.append((i, "http://hot.org/x", f"<article id='post-{i}'><h1>Title {i}</h1><div class='box'>Our terms apply</div>"
+                     f"{''.join(parts)}<p>Tell your friends</p><ul><li><a href='/a{i}'>Item {i}</a><li><a href='/b{i}'>Other {i}</a></ul>"
+                     f"<blockquote>Kept {i}</blockquote></article>"))
+    return rows
+
+
+def test_html_labels_have_the_size_of_a_template(spark):
+    pages = spark.createDataFrame(template_pages(60), "page_id long, url string, html string").repartition(3)
+    (row,) = html_extract.wrappers(pages).collect()
+    assert sum(len(row[c] or ()) for c in ("paths", "texts", "linked", "mixed")) <= 12
+
+
 def test_wrapper_alignment():
     items = lambda s: [[c, 0, 0, 1, 0] for c in s]
     got = html_extract.align(items("abd"), items("acd"))
