@@ -241,7 +241,7 @@ def extract(page: str | None, drop: set, linked: set[int], mixed: set[int]) -> s
     if not page:
         return ""
     found = [(holds(path), path_name(path), path, text, links) for path, text, links in blocks(page) if not outside(path)]
-    varies = [x for x in found if x[0] or not (x[1] in drop or (x[1], name(x[3])) in drop)]
+    varies = [x for x in found if not (x[1] in drop or (x[1], name(x[3])) in drop)]
     for some in (varies, found):
         best = max((x[0] for x in some), default=0)
         if best:

@@ -399,6 +399,17 @@ def test_html_labels_have_the_size_of_a_template(spark):
     assert sum(len(row[c] or ()) for c in ("paths", "texts", "linked", "mixed")) <= 12
 
 
+def test_html_template_inside_articles(spark):
+    rows = template_pages(30)
+    same = [(100 + i, "http://same.org", f"<aside>{i}</aside><article><p>Only this</p></article>") for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in html_extract.main_text(
+        spark.createDataFrame(rows + same + rows[:3], "page_id long, url string, html string")).collect()}
+    for i, _, page in rows:
+        want = [t for _, t, _ in html_extract.blocks(page) if t not in ("Our terms apply", "Tell your friends", f"Item {i}", f"Other {i}")]
+        assert got[i].split("\n") == want and want[-1] == f"Kept {i}"
+    assert {got[100 + i] for i in range(4)} == {"Only this"}
+
+
 def test_wrapper_alignment():
     items = lambda s: [[c, 0, 0, 1, 0] for c in s]
     got = html_extract.align(items("abd"), items("acd"))
