@@ -2,7 +2,10 @@
 
 A word is stripped of ASCII punctuation at its ends and lower-cased; a word with a digit, or a number word, becomes the
 placeholder *number*; a unit word after a number becomes *unit*; a capitalised word that does not begin a sentence
-becomes *name*.  Windows of ``WINDOW`` template words (shorter benchmark items: the whole item) are hashed and joined.
+becomes *name*.  Windows of ``WINDOW`` template words (shorter benchmark items: the whole item, sought anywhere in a document) are hashed
+and joined.  Windows where fewer than half of the words are literal are shapes, not text: they are joined as they stand
+(so a word-for-word copy of a list of numbers or names is found), and as templates only where another window of the item
+has already placed it.
 An item is found in a document when, at one alignment, at least ``NEED`` of its windows (all, if it has fewer) match and
 the slots are consistent: equal item values stand for equal document values.  So an item that was asked again with other
 numbers, names or units is caught (kind ``reworded``), as is a literal copy (kind ``copy``), while a text that merely has
@@ -10,8 +13,7 @@ the same shape with contradicting values is not.
 
 Scale: a fixed bitmap (``FILTER_BITS`` bits, 2 MB) of the hashes of all benchmark windows is the only thing sent to
 every task, whatever the size of the benchmark; windows that pass it (matches, and a share of false ones that grows with
-the benchmark) are joined by hash with Spark's own choice of join, which splits hot keys.  Windows where fewer than half
-of the words are literal are left out on both sides: they are shapes, not text.
+the benchmark) are joined by hash with Spark's own choice of join, which splits hot keys.
 
 Defined results: null or blank texts and items match nothing; repeated rows are each found; null ids are carried along;
 an empty benchmark finds nothing; columns of the input are packed whole, so their names can't clash.
@@ -30,6 +32,8 @@ from strata.llm import tokens as T
 WINDOW = 8
 NEED = 6                                             # windows in a row of one alignment: 13 words
 FILTER_BITS = 1 << 24
+TEXT, SHAPE, LITERAL = 0, 1, 2                       # kinds of windows
+SALTS = T.mix(np.arange(3, dtype=np.uint64))
 NUMBER, NAME, UNIT = (T.mix(np.array([i], np.uint64))[0] for i in (11, 13, 17))
 
 # Number and unit words.
@@ -106,27 +110,40 @@ class Templates:
         self.names, self.first, self.surface = out, w.first, name
         self.words = w
 
-    def windows(self, k: int = WINDOW):
-        """(hash, text number, start, words) of every window with at least half of its words literal."""
-        h, off = T.shingles(self.names, self.first, k)
-        doc = np.repeat(np.arange(len(off) - 1), np.diff(off))
-        at = self.first[:-1][doc] + np.arange(len(h)) - off[:-1][doc]
-        size = np.minimum(np.diff(self.first), k)[doc]
+    def windows(self, lengths=None):
+        """(hash, text number, start, words, kind) of the windows of ``WINDOW`` words.
+
+        The kind is ``TEXT`` where at least half of the template words are literal, else ``SHAPE``; windows near or below
+        that share come as ``LITERAL`` ones (their words as they stand) too.  Without ``lengths`` a shorter text has its
+        whole sequence as one window; with them texts have all windows of each of these lengths.
+        """
+        parts = []
+        count = np.diff(self.first)
         lit = np.r_[0, np.cumsum(self.slot == 0)]
-        ok = 2 * (lit[at + size] - lit[at]) >= size
-        return h[ok], doc[ok], at[ok], size[ok]
+        for k in lengths or [WINDOW]:
+            h, off = T.shingles(self.names, self.first, k)
+            plain, _ = T.shingles(self.surface, self.first, k)
+            doc = np.repeat(np.arange(len(off) - 1), np.diff(off))
+            at = self.first[:-1][doc] + np.arange(len(h)) - off[:-1][doc]
+            size = np.minimum(count, k)[doc]
+            words = lit[at + size] - lit[at]
+            text, fits = 2 * words >= size, (size == k) | (lengths is None)
+            for kind, x, on in ((TEXT, h, text), (SHAPE, h, ~text), (LITERAL, plain, 2 * words < size + 4)):
+                on = np.flatnonzero(on & fits)
+                parts.append((T.mix(x[on] ^ SALTS[kind]), doc[on], at[on], size[on], np.full(len(on), kind)))
+        return tuple(np.concatenate(x) for x in zip(*parts))
 
-    def slots(self, at: int, size: int) -> list[dict]:
-        return [int(x) for x in self.surface[at:at + size][self.slot[at:at + size] > 0].view(np.int64)]
+    def slots(self, at: int, size: int, kind: int = 0) -> list[int]:
+        return [] if kind == LITERAL else [int(x) for x in self.surface[at:at + size][self.slot[at:at + size] > 0].view(np.int64)]
 
 
-SCHEMA = "h long, row long, pos long, slots array<long>"
+SCHEMA = "h long, row long, pos long, kind long, slots array<long>"
 
 
-def window_rows(h, row, pos, slots) -> pa.RecordBatch:
+def window_rows(h, row, pos, kind, slots) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(h.view(np.int64)), pa.array(row, pa.int64()), pa.array(pos, pa.int64()),
-         pa.array(slots, pa.list_(pa.int64()))], names=["h", "row", "pos", "slots"])
+         pa.array(kind, pa.int64()), pa.array(slots, pa.list_(pa.int64()))], names=["h", "row", "pos", "kind", "slots"])
 
 
 def find(chunks: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
@@ -138,17 +155,19 @@ def find(chunks: DataFrame, benchmark: DataFrame, text: str = "text", item: str
     def items(batches):
         for b in batches:
             t = Templates(b.column(1))
-            h, doc, at, size = t.windows()
+            h, doc, at, size, of = t.windows()
             pos = at - t.first[doc]
-            total = np.bincount(doc, minlength=b.num_rows)
+            total = np.bincount(doc[of != LITERAL], minlength=b.num_rows)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h.view(np.int64)), b.column(0).take(pa.array(doc)), pa.array(pos, pa.int64()),
                  pa.array(total[doc], pa.int64()),
-                 pa.array([t.slots(a, s) for a, s in zip(at.tolist(), size.tolist())], pa.list_(pa.int64()))],
-                names=["h", "item", "ipos", "n_windows", "islots"])
+                 pa.array(size, pa.int64()), pa.array(of, pa.int64()),
+                 pa.array([t.slots(*x) for x in zip(at.tolist(), size.tolist(), of.tolist())], pa.list_(pa.int64()))],
+                names=["h", "item", "ipos", "n_windows", "size", "ikind", "islots"])
 
     wanted = C.write_table(benchmark.select(item, item_text).mapInArrow(
-        items, f"h long, item {kind}, ipos long, n_windows long, islots array<long>"), "items")
+        items, f"h long, item {kind}, ipos long, n_windows long, size long, ikind long, islots array<long>"), "items")
+    lengths = sorted({WINDOW, *(r["size"] for r in wanted.select("size").distinct().collect())})   # at most WINDOW numbers
     # bitmap words of 32 bits: at most FILTER_BITS / 32 rows at any size of the benchmark
     cell = F.pmod(F.col("h"), F.lit(FILTER_BITS))
     words = wanted.select(F.shiftright(cell.cast("long"), 5).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(h, 32) as int))").alias("b"))
@@ -160,17 +179,24 @@ def find(chunks: DataFrame, benchmark: DataFrame, text: str = "text", item: str
 
     def look(chunk, rows):
         t = Templates(rows.column(text))
-        h, doc, at, size = t.windows()
+        h, doc, at, size, of = t.windows(lengths)
         cells = (h.view(np.int64) % FILTER_BITS).astype(np.int64)
         on = np.flatnonzero((bitmap.value[cells >> 5] >> (cells & 31).astype(np.uint32)) & 1)
         if len(on):
             d, a = doc[on], at[on]
-            yield window_rows(h[on], (chunk << C.ROW_BITS) + d, a - t.first[d],
-                              [t.slots(x, s) for x, s in zip(a.tolist(), size[on].tolist())])
-
-    hits = C.over_chunks(chunks, look, SCHEMA).join(wanted, "h")
-    paired = hits.select("row", "item", "n_windows", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"),
-                         F.arrays_zip("islots", "slots").alias("z"))
+            yield window_rows(h[on], (chunk << C.ROW_BITS) + d, a - t.first[d], of[on],
+                              [t.slots(*x) for x in zip(a.tolist(), size[on].tolist(), of[on].tolist())])
+
+    seen = C.write_table(C.over_chunks(chunks, look, SCHEMA), "windows")
+    shift = (F.col("pos") - F.col("ipos")).alias("shift")
+    cols = ["row", "item", "n_windows", "ipos", shift, F.arrays_zip("islots", "slots").alias("z")]
+    hits = seen.where(F.col("kind") != SHAPE).join(wanted.where(F.col("ikind") != SHAPE), "h").select(*cols)
+    # shapes find nothing by themselves: they are looked up where an alignment expects them
+    placed = hits.select("row", F.col("item").alias("of"), "shift").distinct()
+    shapes = (placed.join(wanted.where(F.col("ikind") == SHAPE), F.col("of").eqNullSafe(F.col("item")))
+              .withColumn("pos", F.col("shift") + F.col("ipos")).drop("of", "shift")
+              .join(seen.where(F.col("kind") == SHAPE), ["row", "pos", "h"]).select(*cols))
+    paired = hits.unionByName(shapes)
     # a set of slot pairs per alignment is bounded by the item's length
     per = paired.groupBy("row", "item", "shift").agg(
         F.max("n_windows").alias("n_windows"), F.count_distinct("ipos").alias("n_matched"),

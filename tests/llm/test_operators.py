@@ -237,6 +237,19 @@ def test_decontaminate(spark, docs):
     assert decontaminate.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_decontaminate_short_and_number_items(spark):
+    numbers = "Compute 12 + 30 + 45 + 61 + 7 + 98 + 15 + 22 + 4 ."
+    mixed = "Take the old stone bridge road north to Anna Berg Carl Dorn Emil Falk 12 14 16 18 20 22 24 26"
+    bench = spark.createDataFrame([(1, "purple otters juggle teapots"), (2, numbers), (3, mixed)], "item_id long, text string")
+    around = lambda t: prose(40, 60) + ". " + t + " " + prose(40, 61)
+    rows = [(1, around("purple otters juggle teapots")), (2, around(numbers)), (3, around(numbers.replace("45", "46"))),
+            (4, around("Take the old stone bridge road north to")), (5, around(mixed)), (6, around(mixed.replace("12 14", "13 17"))),
+            (7, "purple otters juggle"), (8, around("purple otters never juggle teapots"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["kind"] for r in decontaminate.contaminated(df, bench).collect()}
+    assert got == {(1, 1): "copy", (2, 2): "copy", (3, 2): "reworded", (5, 3): "copy", (6, 3): "reworded"}
+
+
 def test_pitman_yor(spark, docs):
     held = language_id.remainder("doc_id", 7) == 2
     got = pitman_yor.score(docs, held).collect()
