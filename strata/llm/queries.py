@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import (chat_format, decontaminate, html_extract, jaccard_join, language_id, pitman_yor,
-                        quality_rules, sentencepieces, substring_dedup, toxicity)
+from strata.llm import (chat_format, decontaminate, divergence, html_extract, jaccard_join, language_id, merkle, mixing,
+                        pitman_yor, quality_rules, sentencepieces, substring_dedup, toxicity)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -71,15 +71,29 @@ def op10_chat_format(spark, sf):
     return chat_format.render(table(spark, sf, "conversations"))
 
 
+def op11_source_divergence(spark, sf):
+    return divergence.audit(table(spark, sf, "documents"))
+
+
+def op12_source_mixing(spark, sf):
+    return mixing.digests(table(spark, sf, "documents"))
+
+
+def op13_merkle_manifest(spark, sf):
+    return merkle.digests(table(spark, sf, "documents"))
+
+
 def queries() -> dict:
     return {"op1_jaccard_join": op1_jaccard_join, "op2_pitman_yor": op2_pitman_yor,
             "op3_sentencepieces": op3_sentencepieces, "op4_toxicity": op4_toxicity,
             "op5_decontaminate": op5_decontaminate,
             "op6_substring_dedup": op6_substring_dedup, "op7_quality_rules": op7_quality_rules,
             "op8_language_id": op8_language_id, "op9_html_extract": op9_html_extract,
-            "op10_chat_format": op10_chat_format,
+            "op10_chat_format": op10_chat_format, "op11_source_divergence": op11_source_divergence,
+            "op12_source_mixing": op12_source_mixing, "op13_merkle_manifest": op13_merkle_manifest,
             "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:
-    return {"op10_chat_format": chat_format.ORACLE}
+    return {"op10_chat_format": chat_format.ORACLE, "op11_source_divergence": divergence.ORACLE,
+            "op13_merkle_manifest": merkle.ORACLE}
