@@ -5,12 +5,16 @@ A7), lineage (K1, K2), log and quarantine rows (K5, K6), file disposition
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata import schemas
+from strata.operators.dedup import dedup_latest
 from strata.sources.landing import json_list
 
 HASH_SCOPE = ("id_unidade", "tipo")
@@ -209,14 +213,21 @@ def landing_batch(spark, root: str, log: DataFrame, batch_id: str, batch_ts: dt.
         return spark.read.parquet(path)
 
     valid, invalid = scan_landing(spark, root, data_ref)
-    decoded = decode_text(valid)
+    pairs = forced_pairs(spark, forced)
+    # a file whose content is already loaded is skipped whatever it holds, so only the others are decoded and parsed
+    seen = loaded_hashes(log, hash_scope).drop("_seen")
+    todo = valid.join(seen, [*hash_scope, "file_hash"], "left_anti")
+    if pairs is not None:
+        again = valid.join(pairs, ["id_unidade", "data_ref"], "left_semi").join(seen, [*hash_scope, "file_hash"], "left_semi")
+        todo = todo.unionByName(again.select(*todo.columns))
+    decoded = decode_text(todo)
     errors, records = validate_files(decoded.select("path", "tipo", "id_unidade", "text"),
                                      materialize=materialize)
     files = valid.join(errors, "path", "left").withColumn(
         "valid", F.coalesce(F.size("errors") == 0, F.lit(False)))
     plan = plan_files(files.select("path", "rel", "id_unidade", "tipo", "data_ref", "file_hash", "valid",
                                    "errors", "read_error"),
-                      log, forced_pairs(spark, forced), hash_scope).checkpoint()
+                      log, pairs, hash_scope).checkpoint()
     counts = records.groupBy("path").agg(F.count(F.lit(1)).alias("row_count"))
     raw = {}
     for tipo in schemas.EXPECTED_COLUMNS:
@@ -235,21 +246,80 @@ def landing_batch(spark, root: str, log: DataFrame, batch_id: str, batch_ts: dt.
     }
 
 
-def commit_batch(out: dict[str, DataFrame], base: str, batch_id: str) -> None:
-    """K1, K2, K5, K6: raw rows and quarantine first, the log last.
+LOG_STEPS = {"ERROR": 1, "REJECTED": 1, "SKIPPED_DUPLICATE": 1, "LOADED": 2}      # how far a file got; STARTED is 0
 
-    Every table has one partition per batch and is overwritten there, so a
-    batch that is run again, or was cut off between raw and log, ends as one
-    run.  Readers (``committed``) see only batches that reached the log.
+
+def stored_log(spark, base: str) -> DataFrame:
+    """Every event ever appended (K5), with the load id and attempt it belongs to; empty before the first batch."""
+    return _stored(spark, f"{base}/log", schemas.INGESTION_LOG_SCHEMA, "_load_id", "_batch", "_attempt")
+
+
+def _stored(spark, path: str, schema: T.StructType, *more: str) -> DataFrame:
+    """A table of this module by its declared schema; empty if nothing was written yet."""
+    full = T.StructType([*schema, *[T.StructField(c, T.StringType()) for c in more]])
+    try:
+        return spark.read.schema(full).parquet(path)
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], full)
+
+
+def folded_log(events: DataFrame) -> DataFrame:
+    """One row per load id, its furthest state (the first attempt that got there); other files once per outcome.
+
+    A later attempt adds events and never takes one away, so a file that was loaded stays loaded whatever a retry of its
+    batch decides.
+    """
+    other = F.concat_ws("|", "file_path", "file_hash", "batch_id", "status")
+    step = F.lit(0)
+    for status, far in LOG_STEPS.items():
+        step = F.when(F.col("status") == status, F.lit(far)).otherwise(step)
+    keyed = events.withColumns({"_key": F.coalesce("_load_id", other), "_step": step})
+    first = dedup_latest(keyed, ["_key"], [F.col("_step").desc(), F.col("processed_at").asc(), F.col("_attempt").asc()])
+    return first.drop("_key", "_step")
+
+
+def commit_steps(out: dict[str, DataFrame], base: str, batch_id: str, attempt: str | None = None) -> list:
+    """K1, K2, K5, K6: the writes of a batch, in order; nothing is ever overwritten.
+
+    STARTED events, raw rows, quarantine, then the outcomes.  Raw rows and quarantine carry the attempt that wrote them;
+    readers (``committed``, ``quarantined``) take those of the attempt whose outcome counts in the folded log, so what a
+    dead attempt left is never seen, and a batch that is planned again finds its files loaded.
     """
     from strata.sinks import storage
+    attempt = attempt or uuid.uuid4().hex[:12]
+    mark = {"_batch": F.lit(batch_id), "_attempt": F.lit(attempt)}
+    loads = out["plan"].filter(F.col("action") == "LOAD").select(
+        F.col("path").alias("file_path"), load_id(out["plan"]).alias("_load_id"))
+    log = out["log"].join(loads, "file_path", "left").withColumns(mark)
+    started = F.col("status") == "STARTED"
+    by = ["_batch", "_attempt"]
+    steps = [lambda: storage.append(log.filter(started), f"{base}/log", by)]
     for tipo, rows in out["raw"].items():
-        storage.replace_partitions(rows.withColumn("_batch", F.lit(batch_id)), f"{base}/raw_{tipo}", ["_batch"])
-    storage.replace_partitions(out["quarantine"].withColumn("_batch", F.lit(batch_id)), f"{base}/quarantine", ["_batch"])
-    storage.replace_partitions(out["log"].withColumn("_batch", F.lit(batch_id)), f"{base}/log", ["_batch"])
+        steps.append(lambda t=tipo, r=rows: storage.append(r.withColumns(mark), f"{base}/raw_{t}", by))
+    steps.append(lambda: storage.append(out["quarantine"].withColumns(mark), f"{base}/quarantine", by))
+    steps.append(lambda: storage.append(log.filter(~started), f"{base}/log", by))
+    return steps
+
+
+def commit_batch(out: dict[str, DataFrame], base: str, batch_id: str, attempt: str | None = None) -> None:
+    for step in commit_steps(out, base, batch_id, attempt):
+        step()
+
+
+def _of_outcome(spark, base: str, rows: DataFrame, status: str, key: str) -> DataFrame:
+    done = folded_log(stored_log(spark, base)).filter(F.col("status") == status).select(key, "_attempt").distinct()
+    return rows.join(done, [key, "_attempt"], "left_semi").drop("_batch", "_attempt")
 
 
 def committed(spark, base: str, tipo: str) -> DataFrame:
-    """Raw rows of one type whose batch is in the log."""
-    done = spark.read.parquet(f"{base}/log").select("_batch").distinct()
-    return spark.read.parquet(f"{base}/raw_{tipo}").join(done, "_batch", "left_semi").drop("_batch")
+    """Raw rows of one type: of every load, the attempt that the folded log has as LOADED."""
+    rows = _stored(spark, f"{base}/raw_{tipo}", schemas.RAW_CSV_SCHEMAS[tipo], "_batch", "_attempt")
+    return _of_outcome(spark, base, rows, "LOADED", "_load_id")
+
+
+def quarantined(spark, base: str) -> DataFrame:
+    """Quarantine rows, once per file and batch."""
+    rows = _stored(spark, f"{base}/quarantine", schemas.QUARANTINE_SCHEMA, "_batch", "_attempt")
+    return _of_outcome(spark, base, rows, "REJECTED", "file_path")

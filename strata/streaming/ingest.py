@@ -4,7 +4,8 @@
 and stops, which is the daily-run shape; ``foreachBatch`` calls the same
 batch functions as the batch path.  ``log_stream`` writes each micro-batch to
 a partition named by its checkpoint and number and overwrites it there, so a
-replayed micro-batch changes nothing.
+replayed micro-batch changes nothing; ``bronze_stream`` keeps the number of the
+last finished micro-batch in the state of the table it merges into.
 """
 
 from __future__ import annotations
@@ -16,7 +17,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sinks import storage
+from strata.operators.dedup import dedup_latest
+from strata.plans import bronze as B
+from strata.plans import stored
+from strata.sinks import ranges, storage
 
 
 def run_available_now(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
@@ -62,17 +66,36 @@ def ingest_stream(spark: SparkSession, root: str, checkpoint: str, on_batch: Cal
     run_available_now(stream, on_batch, checkpoint)
 
 
-def bronze_stream(spark: SparkSession, raw_path: str, raw_schema, checkpoint: str,
-                  merge: Callable[[DataFrame], DataFrame], target_path: str) -> None:
-    """ST2: raw -> bronze; each micro-batch is merged into the target and the
-    result written as a new version (pointer swap)."""
-    stream = spark.readStream.schema(raw_schema).parquet(raw_path)
+def bronze_handler(spark: SparkSession, tipo: str, table: str, checkpoint: str,
+                   order: str = "date_first", width: int = stored.WIDTH) -> Callable[[DataFrame, int], None]:
+    """The handler of ``bronze_stream``: one micro-batch is typed, de-duplicated and merged into the stored table.
+
+    The number of the last finished micro-batch is published with the data it brought (a state of the same version), so a
+    micro-batch that is replayed after its version was published is skipped, and one that died before is done again.
+    """
+    spec, keys = stored.SPECS[tipo]
+    ledger = "epoch-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        merged = merge(batch)
-        storage.replace_table(merged, target_path)
+        at = ranges.current(spark, table)
+        if at is not None and at.state.get(ledger, -1) >= epoch:
+            return
+        by = B.dedup_order(order)
+        typed = B.typed_projection(batch, spec(), [c for c in B.LINEAGE if c in batch.columns])
+        fresh = stored.kept(dedup_latest(typed, keys, by), f"stream-{tipo}")
+        stored.upsert(spark, table, fresh, keys, stored.key_range(width), by if order == "date_first" else None,
+                      stored.bronze_checks(tipo), {ledger: epoch})
+
+    return handle
+
 
-    run_available_now(stream, handle, checkpoint)
+def bronze_stream(spark: SparkSession, raw_path: str, raw_schema, checkpoint: str, tipo: str, table: str,
+                  order: str = "date_first", width: int = stored.WIDTH, files_per_batch: int | None = None) -> None:
+    """ST2: raw -> bronze; every micro-batch rewrites only the key ranges it touches."""
+    reader = spark.readStream.schema(raw_schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    run_available_now(reader.parquet(raw_path), bronze_handler(spark, tipo, table, checkpoint, order, width), checkpoint)
 
 
 def batch_clock() -> dt.datetime:

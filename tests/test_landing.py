@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata import schemas
@@ -178,10 +179,27 @@ def test_commit_survives_crash_and_replay(spark, tmpdir_path):
     root, base = tmpdir_path + "/in", tmpdir_path + "/out"
     _write(root, "incoming/pedido/id_unidade=12/dt=2026-10-07/a.csv", HDR_P + "\n12;1;Loja Online;07/10/2026;1;;;Pendente\n")
     out = _run(spark, root)
-    from strata.sinks import storage
-    half = out["raw"]["pedido"].withColumn("_batch", F.lit("half"))       # cut off before its log
-    storage.replace_partitions(half, base + "/raw_pedido", ["_batch"])
+    for step in I.commit_steps(out, base, "batch1")[:2]:                 # cut off before the outcomes
+        step()
     for _ in range(2):
         I.commit_batch(out, base, "batch1")
     assert I.committed(spark, base, "pedido").count() == 1
-    assert spark.read.parquet(base + "/log").count() == 2
+    assert I.folded_log(I.stored_log(spark, base)).count() == 1
+
+
+@pytest.mark.parametrize("steps", [0, 1, 2, 3, 4, None])
+def test_replanned_batch_loads_once(spark, tmpdir_path, steps):
+    """A run that dies after any of its writes, its retries and the next batch, each planned from the stored log."""
+    root, base = tmpdir_path + "/in", tmpdir_path + "/out"
+    _write(root, "incoming/pedido/id_unidade=12/dt=2026-10-07/a.csv", HDR_P + "\n12;1;Loja Online;07/10/2026;1;;;Pendente\n")
+    _write(root, "incoming/pedido/id_unidade=12/dt=2026-10-07/bad.csv", "x;y\n1;2\n")
+    for batch, until in (("b1", steps), ("b1", None), ("b1", None), ("b2", None)):
+        out = I.landing_batch(spark, root, I.stored_log(spark, base), batch, TS)
+        for step in I.commit_steps(out, base, batch)[:until]:
+            step()
+    rows = I.committed(spark, base, "pedido").collect()
+    assert [(r["Id_Pedido"], r["_file_version"]) for r in rows] == [("1", 1)]
+    log = I.folded_log(I.stored_log(spark, base)).collect()
+    assert [r["row_count"] for r in log if r["status"] == "LOADED"] == [1]
+    assert not [r for r in log if r["status"] == "STARTED"]
+    assert sorted(r["batch_id"] for r in I.quarantined(spark, base).collect()) == ["b1", "b2"]
