@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.schemas import EXPECTED_COLUMNS
 from strata.sources.tables import read_table
 
 ONLINE_PRIORITIES = ["1-URGENT", "2-HIGH"]
@@ -185,17 +186,54 @@ def write_landing_orders(spark: SparkSession, sf_dir: str, root: str) -> None:
     (unit, year) at ``incoming/pedido/id_unidade=<nation>/dt=<year>-01-01/``,
     ``;``-separated, header first, values printed as stores send them (the
     nation of the customer plays the sending unit)."""
-    from strata.schemas import EXPECTED_COLUMNS
+    rows = _landing_rows(spark, sf_dir)
+    _write_landing(rows, root, EXPECTED_COLUMNS["pedido"])
+
+
+def _landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders with ``unit`` (nation of the customer) and ``dt`` (first day of the year) of the file they go to."""
     o = raw_pedido(spark, sf_dir)
     cust = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("_id_unidade"), F.col("c_nationkey").cast("string").alias("unit"))
-    rows = o.join(cust, "_id_unidade").withColumn(
-        "Id_Unidade", F.col("unit")).withColumn(
+    return o.join(cust, "_id_unidade").withColumn("Id_Unidade", F.col("unit")).withColumn(
         "dt", F.concat(F.substring(F.regexp_extract("_source_file", r"dt=(\d{4})", 1), 1, 4), F.lit("-01-01")))
-    header = ";".join(EXPECTED_COLUMNS["pedido"])
-    line = F.concat_ws(";", *[F.col(c) for c in EXPECTED_COLUMNS["pedido"]]).alias(header)
+
+
+def _write_landing(rows: DataFrame, root: str, cells: list, header: str | None = None, sep: str = ";") -> None:
+    """One file per (unit, dt); ``cells`` are joined by ``sep`` under ``header`` (their names by default, none if '')."""
+    header = sep.join(cells) if header is None else header
+    line = F.concat_ws(sep, *[F.col(c) if isinstance(c, str) else c for c in cells]).alias(header or "line")
     (rows.select(F.col("unit").alias("id_unidade"), "dt", line)
          .repartition("id_unidade", "dt")
-         .write.mode("overwrite").partitionBy("id_unidade", "dt")
-         .option("header", True).option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
+         .write.mode("append").partitionBy("id_unidade", "dt")
+         .option("header", bool(header)).option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
          .csv(f"{root.rstrip('/')}/incoming/pedido"))
+
+
+# unit -> what is wrong with its files; units from 7 on are sound
+MISSING, EXTRA, ODD_HEADER, SHORT, WRONG_UNIT, EMPTY, BAD_NAME = range(7)
+FORCED, RESENT = 7, 8                           # sound, sent again: reloaded by request for one day, skipped
+EXTRA_COLUMNS = 600
+
+
+def write_broken_landing(spark: SparkSession, sf_dir: str, root: str, units: str) -> None:
+    """Landing files like ``write_landing_orders``, with one kind of fault in each of the units 0 to 6.
+
+    ``units``: a condition on ``unit`` that picks the files to write.
+    """
+    cols = EXPECTED_COLUMNS["pedido"]
+    rows = _landing_rows(spark, sf_dir).filter(units)
+    of = lambda u: rows.filter(F.col("unit") == F.lit(str(u)))
+    more = [f"Obs_{i:03d}" for i in range(1, EXTRA_COLUMNS + 1)]
+    odd = [f" {c.upper().replace('_', ' ')} " if i % 2 else c.lower() for i, c in enumerate(cols)]
+    _write_landing(of(MISSING), root, cols[:-1])
+    _write_landing(of(EXTRA), root, [*cols, *[F.lit("x")] * EXTRA_COLUMNS], ";".join(cols + more))
+    _write_landing(of(ODD_HEADER), root, cols, "|".join(odd), "|")
+    _write_landing(of(SHORT), root, cols[:-1], ";".join(cols))
+    online = F.upper(F.trim("Tipo_Pedido")) == "LOJA ONLINE"
+    other = F.when(online, F.lit(str(100 + WRONG_UNIT))).otherwise(F.col("Id_Unidade"))
+    _write_landing(of(WRONG_UNIT).withColumn("Id_Unidade", other), root, cols)
+    _write_landing(of(EMPTY).select("unit", "dt").distinct(), root, [F.lit(" \t ")], "")
+    _write_landing(of(BAD_NAME).withColumn("unit", F.concat(F.lit("x"), "unit")), root, cols)
+    _write_landing(rows.filter(F.col("unit").cast("int") > BAD_NAME), root, cols)
