@@ -33,7 +33,7 @@ RECORD_SCHEMA = T.StructType([
 ])
 
 
-def _norm_path(c: Column) -> Column:
+def norm_path(c: Column) -> Column:
     """``file:///x`` and ``file:/x`` -> ``/x``; other schemes unchanged."""
     return F.regexp_replace(c, r"^file:/+", "/")
 
@@ -67,31 +67,32 @@ def scan_landing(spark: SparkSession, root: str, data_ref=None) -> tuple[DataFra
     valid: path, rel, tipo, id_unidade, data_ref, length, content, file_hash.
     invalid: path, rel (names outside the layout, quarantined by the caller).
     """
-    root_n = _norm_root(root)
     # only the accepted prefixes: files moved to processed/ or rejected/ are no input again
     content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                .load(root.rstrip("/") + "/{incoming,raw}")
-               .select(_norm_path(F.col("path")).alias("path"), "length", "content"))
+               .select(norm_path(F.col("path")).alias("path"), "length", "content"))
     listed = spark.createDataFrame([(p,) for p in content.inputFiles()], "path string") \
-        .select(_norm_path(F.col("path")).alias("path"))
+        .select(norm_path(F.col("path")).alias("path"))
     m = listed.join(content, "path", "left").select(
         "path", F.coalesce("length", F.lit(0).cast("bigint")).alias("length"),
         F.coalesce("content", F.lit(b"").cast("binary")).alias("content"))
-    rel = F.regexp_replace(F.col("path"), "^" + _escape(root_n) + "/", "")
-    m = m.withColumn("rel", rel)
-    # Folder placeholders: empty objects at the top of the tree.
-    m = m.filter(~((F.col("length") == 0) & (F.size(F.split("rel", "/")) <= 2)))
-    m = m.withColumns(parse_landing_path(F.col("rel")))
-    ok = F.col("tipo").isNotNull() & F.col("id_unidade").isNotNull() & F.col("data_ref").isNotNull()
-    invalid = m.filter(~ok).select("path", "rel")
-    valid = m.filter(ok)
+    valid, invalid = named_files(m, root)
     if data_ref is not None:
         d = dt.date.fromisoformat(data_ref) if isinstance(data_ref, str) else data_ref
         valid = valid.filter(F.col("data_ref") == F.lit(d))
-    valid = valid.withColumn("file_hash", F.sha2(F.col("content"), 256))
     return valid, invalid
 
 
+def named_files(m: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """(valid, invalid) of files (path, length, content) under ``root`` by their names, with content hash."""
+    m = m.withColumn("rel", F.regexp_replace(F.col("path"), "^" + _escape(_norm_root(root)) + "/", ""))
+    # Folder placeholders: empty objects at the top of the tree.
+    m = m.filter(~((F.col("length") == 0) & (F.size(F.split("rel", "/")) <= 2)))
+    m = m.withColumns(parse_landing_path(F.col("rel")))
+    ok = F.col("tipo").isNotNull() & F.col("id_unidade").isNotNull() & F.col("data_ref").isNotNull()
+    return m.filter(ok).withColumn("file_hash", F.sha2(F.col("content"), 256)), m.filter(~ok).select("path", "rel")
+
+
 def _escape(s: str) -> str:
     out = []
     for ch in s:

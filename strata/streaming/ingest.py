@@ -10,17 +10,20 @@ last finished micro-batch in the state of the table it merges into.
 
 from __future__ import annotations
 
-import datetime as dt
 import hashlib
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from strata.operators.dedup import dedup_latest
 from strata.plans import bronze as B
 from strata.plans import stored
 from strata.sinks import ranges, storage
+from strata.sources.landing import decode_text, named_files, norm_path, scan_landing, validate_files
 
 
 def run_available_now(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
@@ -56,14 +59,89 @@ def log_handler(to_log: Callable[[DataFrame], DataFrame], table: str, checkpoint
     return handle
 
 
-def ingest_stream(spark: SparkSession, root: str, checkpoint: str, on_batch: Callable[[DataFrame, int], None],
-                  glob: str = "*.csv") -> None:
-    """ST1: landing files as a file stream (``binaryFile``).  A 0-byte file
-    is marked seen but yields no row; ``on_batch`` should list the folder
-    (``scan_landing``) to reject such files."""
-    stream = (spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", glob).load(root))
-    run_available_now(stream, on_batch, checkpoint)
+FILE = "path string, modificationTime timestamp, length long, content binary"
+CHECKED = ("path string, rel string, id_unidade long, tipo string, data_ref date, file_hash string, valid boolean, "
+           "errors array<string>, read_error string")
+PLANNED = CHECKED + ", action string, file_version long"
+UNIT_STATE = "hashes array<binary>, days array<date>, versions array<long>"
+
+
+def check_handler(spark: SparkSession, root: str, checked: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """The handler of ``check_stream``: the new files of one micro-batch, decoded and validated."""
+    source = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        files = named_files(batch.select(norm_path(F.col("path")).alias("path"), "length", "content"), root)[0]
+        storage.replace_partitions(check_files(files).withColumn("_batch", F.lit(f"{source}-{epoch:09d}")), checked, ["_batch"])
+
+    return handle
+
+
+def check_files(files: DataFrame) -> DataFrame:
+    errors, _ = validate_files(decode_text(files).select("path", "tipo", "id_unidade", "text"))
+    out = files.join(errors, "path", "left").withColumn("valid", F.coalesce(F.size("errors") == 0, F.lit(False)))
+    return out.select(*[c.split()[0] for c in CHECKED.split(", ")])
+
+
+def check_stream(spark: SparkSession, root: str, checkpoint: str, checked: str, files_per_batch: int | None = None) -> None:
+    """ST1, first half: landing files as a file stream into the table of checked files.
+
+    The stream gives no row for a 0-byte file, so what the folder lists and the table lacks is checked once it ends.
+    """
+    reader = (spark.readStream.format("binaryFile").schema(FILE).option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*.csv"))
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    run_available_now(reader.load(root.rstrip("/") + "/{incoming,raw}"), check_handler(spark, root, checked, checkpoint),
+                      checkpoint)
+    have = spark.read.schema(CHECKED).parquet(checked).select("path")
+    late = scan_landing(spark, root)[0].join(have, "path", "left_anti")
+    storage.append(check_files(late).withColumn("_batch", F.lit(f"listed-{uuid.uuid4().hex[:12]}")), checked, ["_batch"])
+
+
+def plan_unit(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Files of one (unit, type) in the order of date and path, against the hashes and versions the state holds."""
+    hashes, days, versions = state.get if state.exists else ([], [], [])
+    seen, last = set(map(bytes, hashes)), dict(zip(days, versions))
+    rows = pd.concat(list(frames)).sort_values(["data_ref", "path"], kind="stable")
+    action, number = [], []
+    for digest, valid, unread, day in zip(rows["file_hash"], rows["valid"], rows["read_error"], rows["data_ref"]):
+        digest, version = bytes.fromhex(digest), None
+        if digest in seen:
+            what = "SKIP_DUPLICATE"
+        elif unread is not None:
+            what = "ERROR"
+        elif not valid:
+            what = "REJECT"
+        else:
+            what = "LOAD"
+            seen.add(digest)
+            version = last[day] = last.get(day, 0) + 1
+        action.append(what)
+        number.append(version)
+    state.update((sorted(seen), list(last), list(last.values())))
+    yield rows.assign(action=action, file_version=pd.array(number, "Int64"))
+
+
+def plan_stream(spark: SparkSession, checked: str, checkpoint: str, planned: str, files_per_batch: int | None = None) -> None:
+    """ST1, second half: checked files to load decisions (I1), with state instead of a log lookup.
+
+    The state store holds, per (unit, type), the digests ever loaded and the newest version per date: a few bytes per file
+    a unit ever sent.  A micro-batch decides what ``plan_files`` decides for the same files after the same history; its
+    rows go to a partition of their own, so a replay writes the same partition again.
+    """
+    reader = spark.readStream.schema(CHECKED + ", _batch string")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    fields = [c.split()[0] for c in CHECKED.split(", ")]
+    plan = reader.parquet(checked).select(*fields).groupBy("id_unidade", "tipo").applyInPandasWithState(
+        plan_unit, PLANNED, UNIT_STATE, "append", GroupStateTimeout.NoTimeout)
+    source = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        storage.replace_partitions(batch.withColumn("_batch", F.lit(f"{source}-{epoch:09d}")), planned, ["_batch"])
+
+    run_available_now(plan, handle, checkpoint)
 
 
 def bronze_handler(spark: SparkSession, tipo: str, table: str, checkpoint: str,
@@ -96,8 +174,3 @@ def bronze_stream(spark: SparkSession, raw_path: str, raw_schema, checkpoint: st
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     run_available_now(reader.parquet(raw_path), bronze_handler(spark, tipo, table, checkpoint, order, width), checkpoint)
-
-
-def batch_clock() -> dt.datetime:
-    """One timestamp per batch (passed down as a literal, never per row)."""
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
