@@ -56,6 +56,10 @@ class Staged:
     n_rows: int
     failures: dict = field(default_factory=dict)
 
+    def preview(self) -> Current:
+        """What ``read`` takes to read this version before it is published."""
+        return Current(self.n, self.id, {"schema": self.schema.jsonValue()})
+
 
 def _missing(ex: AnalysisException) -> bool:
     return ex.getCondition() == "PATH_NOT_FOUND"
@@ -163,10 +167,16 @@ def _measure(spark: SparkSession, path: str, version: str, schema: T.StructType,
         F.to_json(F.min(key)).alias("least"), F.to_json(F.max(key)).alias("largest"))
 
 
+def audit(staged: Sequence[Staged]) -> None:
+    """Raise if any of the staged versions broke a check."""
+    bad = [f"{s.path}: " + ", ".join(f"{k}={v}" for k, v in sorted(s.failures.items())) for s in staged if s.failures]
+    if bad:
+        raise GateError("; ".join(bad))
+
+
 def publish(spark: SparkSession, staged: Staged, state: Mapping[str, object] | None = None) -> Current:
     """Make a staged version current, together with ``state``; a version with failed checks raises instead (Q9)."""
-    if staged.failures:
-        raise GateError(f"{staged.path}: " + ", ".join(f"{k}={v}" for k, v in sorted(staged.failures.items())))
+    audit([staged])
     was = current(spark, staged.path)
     if (was.n if was else 0) != staged.n - 1:
         raise RuntimeError(f"{staged.path}: version {was.n} was published after {staged.id} was staged")

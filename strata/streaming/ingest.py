@@ -161,8 +161,9 @@ def bronze_handler(spark: SparkSession, tipo: str, table: str, checkpoint: str,
         by = B.dedup_order(order)
         typed = B.typed_projection(batch, spec(), [c for c in B.LINEAGE if c in batch.columns])
         fresh = stored.kept(dedup_latest(typed, keys, by), f"stream-{tipo}")
-        stored.upsert(spark, table, fresh, keys, stored.key_range(width), by if order == "date_first" else None,
-                      stored.bronze_checks(tipo), {ledger: epoch})
+        staged = stored.stage_upsert(spark, table, fresh, keys, stored.key_range(width),
+                                     by if order == "date_first" else None, stored.bronze_checks(tipo))
+        ranges.publish(spark, staged, {ledger: epoch})
 
     return handle
 

@@ -157,3 +157,27 @@ def test_stream_replays_and_restarts(spark, tmpdir_path):
     handle(b, 1)                                                        # the micro-batch that is already in
     run()
     assert R.current(spark, table).n == n and numbers(spark, table) == {1: 5, 11: 11}
+
+
+def test_transform_run_publishes_all_layers_or_none(spark, tmpdir_path):
+    units = spark.createDataFrame([(1, "u", "e")], "id_unidade long, nome_unidade string, nome_estado string")
+    items = spark.createDataFrame([], "Id_Pedido string, Id_Item_Pedido string, Id_Produto string, Qtd string, Vlr_Item string, "
+                                      "Observacao string, _ingestion_ts timestamp, _source_file string, _file_version long, "
+                                      "_line_no long, _id_unidade string")
+    item = [("1", "1", "5", "2", "3,50", "", dt.datetime(2026, 1, 2), "incoming/item_pedido/id_unidade=1/dt=2026-01-01/i.csv", 1, 1, "1")]
+    some = spark.createDataFrame(item, items.schema)
+    first = raw(spark, order(1, 7, "2026-01-01", status="Finalizado"))
+    both = first.unionByName(raw(spark, order(2, 9, "2026-01-05")))
+    names = ["bronze_pedido", "bronze_item_pedido", "silver_pedido", *S.DAILY_GOLD]
+    assert S.transform(spark, tmpdir_path, first, some, units) == names
+    assert S.transform(spark, tmpdir_path, first, some, units) == []
+    with pytest.raises(R.GateError):
+        S.transform(spark, tmpdir_path, both, some, units, checks={"gold_ticket_medio": {"any": F.col("qtd_finalizados") == 0}})
+    assert {R.current(spark, f"{tmpdir_path}/{n}").n for n in names} == {1}
+    before = files(spark, f"{tmpdir_path}/gold_vendas_diarias")
+    assert "bronze_item_pedido" not in S.transform(spark, tmpdir_path, both, some, units)
+    after = files(spark, f"{tmpdir_path}/gold_vendas_diarias")
+    assert sorted(after) == ["2026-01-01", "2026-01-05"] and after["2026-01-01"] == before["2026-01-01"]
+    got = {str(r["data_pedido"]): (r["qtd_pedidos"], float(r["faturamento"]))
+           for r in R.read(spark, f"{tmpdir_path}/gold_vendas_diarias").collect()}
+    assert got == {"2026-01-01": (1, 7.0), "2026-01-05": (1, 0.0)}
