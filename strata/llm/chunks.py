@@ -14,6 +14,7 @@ The number of buckets follows the size of the input, so a bucket stays a few MB
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -85,6 +86,14 @@ def buckets_for(chunks: DataFrame, per_bucket: int = 16 << 20) -> int:
     return max(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // per_bucket), 1)
 
 
+def give_back() -> None:
+    """Return memory that a chunk's arrays have left behind; workers live long and allocators keep what was freed."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def squeeze(*arrays: np.ndarray) -> bytes:
     """Arrays of any one-dimensional dtype as bytes, lightly compressed column by column."""
     parts, z = [], zstandard.ZstdCompressor(level=1)

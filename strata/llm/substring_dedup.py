@@ -30,6 +30,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -227,7 +228,8 @@ def marks(docs: DataFrame, finish, schema, window: int = WINDOW, rounds: int = R
         yield C.send([key] * len(parts), [c for c, _ in got],
                      [C.squeeze(x.astype(np.uint8)) for x in np.split(later, ends[:-1])])
 
-    def remove(chunk, rows, got):
+    def verdict_of(rows, got):
+        """The chunk's words and which of them go; names and windows are let go of before the texts are written."""
         t = Texts(rows, text)
         removed = np.zeros(len(t.words), bool)
         got = sorted(got, key=lambda x: x[0])
@@ -241,7 +243,12 @@ def marks(docs: DataFrame, finish, schema, window: int = WINDOW, rounds: int = R
             np.add.at(edge, gone, 1)
             np.add.at(edge, gone + window, -1)
             removed = np.cumsum(edge)[:-1] > 0
-        yield from finish(rows, t.words, removed)
+        return t.words, removed
+
+    def remove(chunk, rows, got):
+        words, removed = verdict_of(rows, got)
+        C.give_back()
+        yield from finish(rows, words, removed)
 
     answers = C.by_key(C.over_chunks(chunks, reveal, C.SEND), repeated, C.SEND)
     sent = C.write_table(C.back(chunks, answers, windows, C.SEND), "windows")
@@ -278,24 +285,27 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
 
     def finish(rows, words, removed):
         if removed.any():
-            buf, off = words.buf, words.off
-            cut = np.zeros(len(buf) + 1, np.int64)   # from the start of a removed word to the start of the next word
-            stop = np.minimum(np.r_[words.start[1:], len(buf)], off[words.doc + 1])
-            np.add.at(cut, words.start[removed], 1)
-            np.add.at(cut, stop[removed], -1)
-            keep = np.cumsum(cut)[:-1] == 0
-            kept = np.r_[0, np.cumsum(keep)]
-            raw = buf[keep].tobytes()
-            ends = kept[off]
-            texts = [raw[a:b].decode() for a, b in zip(ends[:-1], ends[1:])]
+            buf, off, n = words.buf, words.off, rows.num_rows
+            at = np.flatnonzero(removed)                 # each goes with what follows it up to the next word or the end
+            start, doc = words.start[at], words.doc[at]
+            stop = np.minimum(np.append(words.start, len(buf))[at + 1], off[doc + 1])
+            cut = np.zeros(len(buf) + 1, np.int8)        # adjoining words cancel, so the running sum is 0 or 1
+            np.add.at(cut, start, 1)
+            np.add.at(cut, stop, -1)
+            np.cumsum(cut, out=cut)
+            kept = buf[cut[:-1] == 0]
+            ends = off - np.r_[0, np.cumsum(np.bincount(doc, stop - start, n).astype(np.int64))]
             old = rows.column(text)
-            texts = [t if old[i].is_valid else None for i, t in enumerate(texts)]
-            at = rows.schema.get_field_index(text)
-            rows = rows.set_column(at, rows.schema.field(text), pa.array(texts, rows.schema.field(text).type))
+            valid = old.is_valid() if old.null_count else None
+            texts = pa.LargeStringArray.from_buffers(n, pa.py_buffer(ends), pa.py_buffer(kept))
+            if valid is not None:
+                texts = pc.if_else(valid, texts, None)
+            del cut, at, start, stop, doc
+            place = rows.schema.get_field_index(text)
+            rows = rows.set_column(place, rows.schema.field(text), texts.cast(rows.schema.field(text).type))
             if chars is not None:
-                at = rows.schema.get_field_index(chars)
-                size = pa.array([None if t is None else len(t) for t in texts], pa.int64())
-                rows = rows.set_column(at, rows.schema.field(chars), size.cast(rows.schema.field(chars).type))
+                place = rows.schema.get_field_index(chars)
+                rows = rows.set_column(place, rows.schema.field(chars), pc.utf8_length(texts).cast(rows.schema.field(chars).type))
         yield rows
 
     return marks(docs, finish, docs.schema, window, id_col=id_col, text=text)
