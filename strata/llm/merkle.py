@@ -173,7 +173,8 @@ def prove(level_0: DataFrame, carry: list[str], path: str | None = None) -> Data
     over = build(write_table(ordered, "merkle-subroots"), None if path is None else f"{path}/root")
     last = tops(over).first()
     root = last["h"] if last else None
-    crown = level_0.sparkSession.range(1).select(F.lit(0).alias("tree"), F.array().cast(PATH).alias("path"))
+    crown = write_table(level_0.sparkSession.range(1).select(F.lit(0).alias("tree"), F.array().cast(PATH).alias("path")),
+                        "merkle-crown")           # written: a literal key would turn the join into a nested loop
     top = paths(over, crown, ["member", "subroot"]).select(F.col("member").alias("tree"), "subroot", "path")
     top = write_table(top, "merkle-top")
     found = paths(own, top, carry)
