@@ -95,5 +95,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op10_chat_format": chat_format.ORACLE, "op11_source_divergence": divergence.ORACLE,
+    return {"op1_jaccard_join": jaccard_join.ORACLE, "op6_substring_dedup": substring_dedup.ORACLE,
+            "op10_chat_format": chat_format.ORACLE, "op11_source_divergence": divergence.ORACLE,
             "op13_merkle_manifest": merkle.ORACLE}

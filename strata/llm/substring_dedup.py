@@ -309,3 +309,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
         yield rows
 
     return marks(docs, finish, docs.schema, window, id_col=id_col, text=text)
+
+
+# DuckDB: every window as text, in order of (doc_id, start); all but the first of equal ones cover their words
+ORACLE = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+o AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS j, unnest(w) AS x, len(w) AS n FROM w),
+t AS (SELECT doc_id, j AS i, n, string_agg(x, ' ') OVER (PARTITION BY doc_id ORDER BY j ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS x FROM o),
+v AS (SELECT doc_id, i, row_number() OVER (PARTITION BY x ORDER BY doc_id, i) AS k FROM t WHERE i <= n - 19),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM v WHERE k > 1),
+g AS (SELECT doc_id, list(j) AS gone FROM c GROUP BY doc_id),
+q AS (SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS kept FROM o ANTI JOIN c ON c.doc_id = o.doc_id AND c.j = o.j GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN g USING (doc_id) LEFT JOIN q USING (doc_id)"""
