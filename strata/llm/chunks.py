@@ -87,18 +87,24 @@ def buckets_for(chunks: DataFrame, per_bucket: int = 16 << 20) -> int:
 
 
 def give_back() -> None:
-    """Return memory that a chunk's arrays have left behind; workers live long and allocators keep what was freed."""
+    """Return memory that the last chunk's arrays have left behind; workers live long and allocators keep what was freed."""
     pa.default_memory_pool().release_unused()
     libc = ctypes.CDLL(None)
-    if hasattr(libc, "malloc_trim"):
+    if hasattr(libc, "malloc_trim"):                 # glibc
         libc.malloc_trim(0)
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:
-    """Arrays of any one-dimensional dtype as bytes, lightly compressed column by column."""
+    """Arrays of any one-dimensional dtype as bytes, lightly compressed column by column.
+
+    The bytes of numbers go by place (all first bytes, then all second ones): high bytes vary little.
+    """
     parts, z = [], zstandard.ZstdCompressor(level=1)
     for a in arrays:
-        raw = np.ascontiguousarray(a).tobytes()
+        raw = np.ascontiguousarray(a)
+        if raw.itemsize > 1:
+            raw = np.ascontiguousarray(raw.view(np.uint8).reshape(-1, raw.itemsize).T)
+        raw = raw.tobytes()
         small = z.compress(raw) if len(raw) > 64 else raw
         small = raw if len(small) >= len(raw) else small
         head = f"{a.dtype.str},{len(raw)},{len(small)}".encode()
@@ -114,7 +120,10 @@ def spread(blob) -> list[np.ndarray]:
         dtype, raw, small = bytes(blob[i + 2:i + 2 + n]).decode().split(",")
         i += 2 + n
         body = blob[i:i + int(small)]
-        out.append(np.frombuffer(body if raw == small else z.decompress(body), np.dtype(dtype)))
+        flat, kind = np.frombuffer(body if raw == small else z.decompress(body), np.uint8), np.dtype(dtype)
+        if kind.itemsize > 1:
+            flat = np.ascontiguousarray(flat.reshape(kind.itemsize, -1).T)
+        out.append(flat.reshape(-1).view(kind))
         i += int(small)
     return out
 
@@ -150,6 +159,7 @@ def over_chunks(chunks: DataFrame, fn: Callable[[int, pa.RecordBatch], Iterator[
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
+                give_back()
                 yield from fn(batch.column("chunk")[i].as_py(), thaw(batch.column("blob")[i].as_buffer()))
 
     return chunks.select("chunk", "blob").mapInArrow(run, schema)
@@ -159,6 +169,7 @@ def back(chunks: DataFrame, answers: DataFrame, fn: Callable, schema) -> DataFra
     """``fn(chunk number, rows, [blobs sent to it])`` yields the record batches of a chunk's result."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()
         if left.num_rows == 0:
             return pa.Table.from_batches([], schema=target)
         chunk = left.column("chunk")[0].as_py()
@@ -181,6 +192,7 @@ def by_key(sent: DataFrame, fn: Callable[[list[tuple[int, bytes]]], Iterator[pa.
     target = to_arrow_schema(sent.sparkSession.createDataFrame([], schema).schema)
 
     def run(table: pa.Table) -> pa.Table:
+        give_back()
         key = table.column("key")[0].as_py()
         got = [(table.column("chunk")[i].as_py(), table.column("blob")[i].as_buffer()) for i in range(table.num_rows)]
         out = list(fn(key, got))

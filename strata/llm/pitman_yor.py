@@ -160,8 +160,10 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text: str = "te
 
     def seating(key, got):
         parts = [C.spread(b) for _, b in got]
+        ends = np.cumsum([len(p[0]) for p in parts])[:-1]
         ctx = np.concatenate([np.cumsum(p[0]) for p in parts])
         word, n, cw, cc = (np.concatenate([p[i].astype(np.int64) for p in parts]) for i in range(1, 5))
+        del parts
         order = np.lexsort((word, ctx))
         new = np.r_[True, (ctx[order][1:] != ctx[order][:-1]) | (word[order][1:] != word[order][:-1])]
         at = order[new]
@@ -169,6 +171,8 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text: str = "te
         dish[order] = np.cumsum(new) - 1
         n = np.bincount(dish, n, len(at)).astype(np.int64)
         ctx, word, base, split = ctx[at], word[at], cw[at] / max(n_train, 1), np.maximum(-(-cc[at] // SPLIT), 1)
+        del order, new, at, cw, cc
+        C.give_back()
         _, room = np.unique(ctx, return_inverse=True)
         rng = np.random.default_rng([key, 20])
         t, kept = np.minimum(n, 1), []
@@ -177,10 +181,10 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text: str = "te
             t = seat(rng, n, (STRENGTH + DISCOUNT * tables) * base, DISCOUNT)
             if sweep >= SWEEPS - SAMPLES:
                 kept.append(t)
-        ends = np.cumsum([len(p[0]) for p in parts])[:-1]
-        cols = [np.split(x[dish], ends) for x in (n, *kept)]
-        yield C.send([nb + key] * len(parts), [c for c, _ in got],
-                     [C.squeeze(*[small(x[i]) for x in cols]) for i in range(len(parts))])
+        cols = [np.split(small(x)[dish], ends) for x in (n, *kept)]
+        yield C.send([nb + key] * len(got), [c for c, _ in got],
+                     [C.squeeze(*[small(x[i]) for x in cols]) for i in range(len(got))])
+        del cols, dish
         # tables by dish and by context, to the word buckets
         who = np.concatenate([word, ctx])
         names, which = np.unique(who, return_inverse=True)
