@@ -2,10 +2,11 @@
 
 Terms become sparse document vectors through ``CountVectorizer`` with ``minDF`` and the largest integer as ``vocabSize``, so
 no term is cut.  A term is joined with its document's language first: a document has one language, so one fit over these
-keys gives every language its own vocabulary and document counts, without a job per language.  The vocabulary passes the
-driver, as CountVectorizer works; terms are therefore dealt by hash into as many fits as keep each below about ``FIT_TERMS``
-different terms.  Vectors are summed per (lang, source) like Summarizer does, but as integers over their stored entries
-only, with partial sums before the shuffle, so a source with a third of all rows is one row per term and task.
+keys gives every language its own vocabulary and document counts, without a job per language.  The kept terms pass the
+driver, as CountVectorizer works (rarer ones are dropped before); terms are therefore dealt by hash into as many fits as
+keep each at about ``FIT_TERMS`` kept terms.  Vectors are summed per (lang, source) with weights like Summarizer does, but
+as integers over their stored entries only, with partial sums before the shuffle, so a source with a third of all rows is
+one row per term and task.
 
 Pairs: a group is its terms with a count, all others have one and the same probability.  Sources of a language are dealt
 into blocks of about ``BLOCK`` and their terms into buckets of about ``BUCKET``; a task compares two blocks over one bucket
@@ -32,7 +33,8 @@ from strata.llm.chunks import write_table
 from strata.session import scratch_path
 
 MIN_DF = 10
-FIT_TERMS = 1 << 19                             # different terms in one fit: what the driver and a broadcast hold
+FIT_TERMS = 1 << 19                             # kept terms in one fit, about: what the driver and a broadcast hold
+PROBE = 64
 MOST_TERMS = 2**31 - 1
 BLOCK, BUCKET = 64, 4096                        # sources in a block, terms in a bucket, about
 SLICE = 2 << 20
@@ -40,7 +42,7 @@ UNIT = 1_000_000_000
 INSIDE = np.zeros(256, bool)                    # bytes of a term: letters, and every byte of a code point from U+0080 on
 INSIDE[65:91] = INSIDE[97:123] = INSIDE[128:] = True
 SEP = "\x00"                                    # stands in no term
-VECTOR = "lang string, source string, v struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
+VECTOR = "lang string, source string, n long, v struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
 
 
 def terms(buf: np.ndarray, off: np.ndarray) -> pa.ListArray:
@@ -57,49 +59,79 @@ def terms(buf: np.ndarray, off: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(start, off), pa.int32()), words)
 
 
+def weighted(part: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows (lang, source, n, keys, probe) of a slice: of each text the terms that occur n times, one row per n.
+
+    A document's vector is the sum of its rows, each taken n times; a term is in one row of a document, so document counts
+    are row counts.  A text without terms is one row without keys.  ``probe``: names of every ``PROBE``-th term.
+    """
+    found = terms(*T.buffers(part.column("text")))
+    coded = found.values.dictionary_encode()
+    words, n_words = coded.dictionary, max(len(coded.dictionary), 1)
+    doc = pc.list_parent_indices(found).to_numpy().astype(np.int64)
+    pair, n = np.unique(doc * n_words + coded.indices.to_numpy().astype(np.int64), return_counts=True)
+    doc, word = pair // n_words, pair % n_words
+    order = np.lexsort((n, doc))
+    doc, word, n = doc[order], word[order], n[order]
+    start = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (n[1:] != n[:-1])]) if len(doc) else np.zeros(0, np.int64)
+    blank = np.setdiff1d(np.arange(part.num_rows), doc)
+    row_doc = np.r_[doc[start], blank]
+    ends = np.r_[start, np.full(len(blank) + 1, len(doc))]
+    off = T.buffers(words)
+    name = T.span_names(off[0], off[1][:-1], off[1][1:])
+    some = np.flatnonzero(name[word] % np.uint64(PROBE) == 0)
+    keys = pc.binary_join_element_wise(words.take(pa.array(word)), part.column("lang").take(pa.array(doc)), SEP)
+    lists = lambda at, values: pa.ListArray.from_arrays(pa.array(at, pa.int32()), values)
+    return pa.RecordBatch.from_arrays(
+        [part.column("lang").take(pa.array(row_doc)), part.column("source").take(pa.array(row_doc)),
+         pa.array(np.r_[n[start], np.zeros(len(blank))].astype(np.int64)), lists(ends, keys),
+         lists(np.searchsorted(some, ends), pa.array(name[word[some]].view(np.int64)))],
+        names=["lang", "source", "n", "keys", "probe"])
+
+
 def keyed(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, keys): every document's terms, each with its language; a written table."""
+    """(lang, source, n, keys, probe): every document's terms, each with its language, see ``weighted``; a written table."""
 
     def run(batches):
         for batch in batches:
             for part in T.slices(batch, "text", SLICE):
-                found = terms(*T.buffers(part.column("text")))
-                tongue = pc.take(part.column("lang"), pc.list_parent_indices(found))
-                keys = pc.binary_join_element_wise(found.values, tongue, SEP)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("lang"), part.column("source"), pa.ListArray.from_arrays(found.offsets, keys)],
-                    names=["lang", "source", "keys"])
+                yield weighted(part)
 
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n)
                          for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
-    return write_table(rows.mapInArrow(run, "lang string, source string, keys array<string>"), "terms")
+    return write_table(rows.mapInArrow(run, "lang string, source string, n long, keys array<string>, probe array<long>"), "terms")
 
 
 def count_vectors(rows: DataFrame, min_df: int) -> DataFrame | None:
     """(lang, source, term, count) of the kept terms of ``rows``; None if there are none."""
     cv = CountVectorizer(inputCol="keys", outputCol="v", minDF=float(min_df), vocabSize=MOST_TERMS)
     try:
-        model = cv.fit(rows)
+        model = cv.fit(rows.select("keys"))
     except IllegalArgumentException as ex:
         if "vocabulary size should be > 0" not in str(ex):
             raise
         return None
     spark = rows.sparkSession
     path = scratch_path(spark, "vectors")
-    model.transform(rows).select("lang", "source", "v").write.parquet(path)
+    model.transform(rows.select("lang", "source", "n", "keys")).select("lang", "source", "n", "v").write.parquet(path)
     stored = spark.read.schema(VECTOR).parquet(path)        # vectors, read as the plain columns that they are
-    sums = stored.select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e")).groupBy(
-        "lang", "source", F.col("e.indices").alias("i")).agg(F.sum(F.col("e.values").cast("long")).alias("count"))
+    sums = stored.select("lang", "source", "n", F.explode("v.indices").alias("i")).groupBy("lang", "source", "i").agg(
+        F.sum("n").alias("count"))
     words = pa.table({"i": pa.array(np.arange(len(model.vocabulary)), pa.int32()),
                       "key": pa.array(model.vocabulary, pa.string())})
     words = write_table(spark.createDataFrame(words), "vocabulary")
     return sums.join(words, "i").select("lang", "source", F.substring_index("key", SEP, 1).alias("term"), "count")
 
 
+def kept_terms(rows: DataFrame, min_df: int) -> int:
+    """About how many terms are kept, from the document counts of every ``PROBE``-th term; it only sizes the fits."""
+    often = rows.select("lang", F.explode("probe").alias("k")).groupBy("lang", "k").count().where(F.col("count") >= min_df)
+    return often.count() * PROBE
+
+
 def counts(rows: DataFrame, min_df: int = MIN_DF, fit_terms: int = FIT_TERMS) -> DataFrame:
     """(lang, source, term, count) with count > 0, of the terms in at least ``min_df`` documents of their language."""
-    seen = rows.select(F.explode("keys").alias("k")).agg(F.approx_count_distinct("k")).first()[0]
-    fits, out = seen // fit_terms + 1, None
+    fits, out = kept_terms(rows, min_df) // fit_terms + 1, None
     for i in range(fits):
         part = rows if fits == 1 else rows.withColumn(
             "keys", F.filter("keys", lambda k: F.pmod(F.xxhash64(k), F.lit(fits)) == i))

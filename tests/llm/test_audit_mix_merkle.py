@@ -80,11 +80,12 @@ def brute_audit(data, min_df):
     return sorted(out)
 
 
-@pytest.mark.parametrize("fit_terms,block,bucket", [(1 << 19, 64, 4096), (40, 2, 7)])
+@pytest.mark.parametrize("fit_terms,block,bucket", [(1 << 19, 64, 4096), (20, 2, 7)])
 def test_audit(docs, monkeypatch, fit_terms, block, bucket):
     monkeypatch.setattr(divergence, "BLOCK", block)
     monkeypatch.setattr(divergence, "BUCKET", bucket)
     monkeypatch.setattr(divergence.counts, "__defaults__", (10, fit_terms))
+    monkeypatch.setattr(divergence, "PROBE", 1)
     got = sorted(tuple(r) for r in divergence.audit(docs).collect())
     assert got == brute_audit(rows(), 10)
 
