@@ -144,9 +144,11 @@ def counts(rows: DataFrame, min_df: int = MIN_DF, fit_terms: int = FIT_TERMS) ->
 
 
 def probability(count: Column, n: Column, v: Column) -> Column:
-    """1 + floor(UNIT * (count + 2) / (n + 2 * v)), in decimals wide enough for any count."""
-    up = F.lit(UNIT).cast("decimal(10,0)") * (count + 2).cast("decimal(20,0)")
-    return F.lit(1) + F.call_function("div", up, (n + 2 * v).cast("decimal(20,0)"))
+    """1 + floor(UNIT * (count + 2) / (n + 2 * v)); where the product would leave a long, in decimals."""
+    wide = F.call_function("div", F.lit(UNIT).cast("decimal(10,0)") * (count + 2).cast("decimal(20,0)"),
+                           (n + 2 * v).cast("decimal(20,0)"))
+    return F.lit(1) + F.when(count < 2**63 // UNIT - 2, F.call_function("div", F.lit(UNIT).cast("long") * (count + 2), n + 2 * v)) \
+        .otherwise(wide)
 
 
 def divergence(p: Column, q: Column) -> Column:
