@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from strata.operators.dedup import dedup_latest
 from strata.plans import bronze as B
 from strata.plans import stored
 from strata.sinks import ranges, storage
@@ -160,9 +159,8 @@ def bronze_handler(spark: SparkSession, tipo: str, table: str, checkpoint: str,
             return
         by = B.dedup_order(order)
         typed = B.typed_projection(batch, spec(), [c for c in B.LINEAGE if c in batch.columns])
-        fresh = stored.kept(dedup_latest(typed, keys, by), f"stream-{tipo}")
-        staged = stored.stage_upsert(spark, table, fresh, keys, stored.key_range(width),
-                                     by if order == "date_first" else None, stored.bronze_checks(tipo))
+        staged = stored.stage_upsert(spark, table, typed, keys, stored.key_range(width), by, order == "date_first",
+                                     stored.bronze_checks(tipo))
         ranges.publish(spark, staged, {ledger: epoch})
 
     return handle

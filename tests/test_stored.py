@@ -181,3 +181,40 @@ def test_transform_run_publishes_all_layers_or_none(spark, tmpdir_path):
     got = {str(r["data_pedido"]): (r["qtd_pedidos"], float(r["faturamento"]))
            for r in R.read(spark, f"{tmpdir_path}/gold_vendas_diarias").collect()}
     assert got == {"2026-01-01": (1, 7.0), "2026-01-05": (1, 0.0)}
+
+
+def exchanges(df):
+    df.collect()                                     # the adaptive plan is final once it ran
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0].count("Exchange hashpartitioning")
+
+
+def test_upsert_moves_rows_once_and_keeps_rows_without_key(spark):
+    keys, by = B.PEDIDO_KEYS, B.dedup_order("date_first")
+    typed = lambda *rows: B.typed_projection(raw(spark, *rows), B.pedido_spec(), B.LINEAGE)
+    old = typed(order(1, 1, "2026-01-01"), order(2, 2, "2026-01-09"), order(None, 3, "2026-01-01"))
+    new = typed(order(1, 10, "2026-01-02"), order(1, 11, "2026-01-03"), order(2, 20, "2026-01-02"), order(5, 5, "2026-01-02"),
+                order(None, 4, "2026-01-02"), order(None, 6, "2026-01-03"))
+    values = lambda df: sorted((r["id_pedido"] or 0, int(r["vlr_pedido"])) for r in df.collect())
+    got = S.upserted(old, new, keys, S.key_range(10), by)
+    assert values(got) == [(0, 3), (0, 6), (1, 11), (2, 2), (5, 5)] and exchanges(got) == 1
+    assert values(S.upserted(old, new, keys, S.key_range(10), by, guarded=False)) == [(0, 3), (0, 6), (1, 11), (2, 20), (5, 5)]
+    assert exchanges(S.upserted(None, new, keys, S.key_range(10), by)) == 1
+
+
+def test_range_full_of_new_rows_is_cut_before_it_moves(spark, tmpdir_path, monkeypatch):
+    monkeypatch.setattr(S, "CROWDED", 2)
+    rows = [order(1, n, f"2026-01-{n:02d}") for n in range(1, 6)]
+    S.load_bronze(spark, tmpdir_path, raw(spark, *rows), "pedido", width=10)
+    assert numbers(spark, tmpdir_path) == {1: 5}
+
+
+def test_full_build_by_range_is_the_plain_one(spark):
+    items = spark.createDataFrame([(str(n % 4), "1", "7", str(n), "1,00", "", dt.datetime(2026, 1, 1 + n), "p", 1, n, "3")
+                                   for n in range(8)] + [(None, "1", "7", "1", "1,00", "", dt.datetime(2026, 1, 1), "p", 1, 1, "3")],
+                                  "Id_Pedido string, Id_Item_Pedido string, Id_Produto string, Qtd string, Vlr_Item string, "
+                                  "Observacao string, _ingestion_ts timestamp, _source_file string, _file_version long, "
+                                  "_line_no long, _id_unidade string")
+    placed = B.bronze_item_pedido(items, order="date_first", ranges=S.key_range(2))
+    assert sorted(map(str, placed.collect())) == sorted(map(str, B.bronze_item_pedido(items, order="date_first").collect()))
+    assert exchanges(placed) == 1
