@@ -3,7 +3,7 @@ structural validation (V1-V6).
 
 Everything is set-based over a manifest DataFrame with one row per file; the
 only Python on the data path is the CSV record splitter (quoted fields and
-quoted newlines), run per file inside ``mapInPandas`` and streamed in chunks.
+quoted newlines), run per file inside ``mapInArrow`` and streamed in chunks.
 """
 
 from __future__ import annotations
@@ -11,8 +11,9 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import io
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,7 +64,7 @@ def scan_landing(spark: SparkSession, root: str, data_ref=None) -> tuple[DataFra
     """(valid, invalid) manifests of the files under ``root``.
 
     ``binaryFile`` gives no row for a 0-byte file, so the file listing of the
-    same read (``inputFiles``) is joined in and such files get empty content.
+    same read (``inputFiles``) is compared and such files get empty content.
     valid: path, rel, tipo, id_unidade, data_ref, length, content, file_hash.
     invalid: path, rel (names outside the layout, quarantined by the caller).
     """
@@ -73,9 +74,9 @@ def scan_landing(spark: SparkSession, root: str, data_ref=None) -> tuple[DataFra
                .select(norm_path(F.col("path")).alias("path"), "length", "content"))
     listed = spark.createDataFrame([(p,) for p in content.inputFiles()], "path string") \
         .select(norm_path(F.col("path")).alias("path"))
-    m = listed.join(content, "path", "left").select(
-        "path", F.coalesce("length", F.lit(0).cast("bigint")).alias("length"),
-        F.coalesce("content", F.lit(b"").cast("binary")).alias("content"))
+    # only names are joined; contents stay in the tasks that read them
+    m = content.unionByName(listed.join(content.select("path"), "path", "left_anti").select(
+        "path", F.lit(0).cast("bigint").alias("length"), F.lit(b"").cast("binary").alias("content")))
     valid, invalid = named_files(m, root)
     if data_ref is not None:
         d = dt.date.fromisoformat(data_ref) if isinstance(data_ref, str) else data_ref
@@ -122,39 +123,55 @@ def detect_delimiter(text: Column) -> Column:
 
 
 READ_ERROR = -1          # record number of the one record that tells why a file could not be read
+FILE = 0                 # record number of the one record of every file: type, unit, whether it is empty
+CHUNK_ROWS, CHUNK_CELLS = 20_000, 400_000
+
+
+def _records(path, tipo, unit, is_empty, text, delim):
+    """(record number, cells) of one file."""
+    yield FILE, [tipo, None if unit is None else str(unit), None if is_empty is None else str(is_empty)]
+    if is_empty or is_empty is None:
+        return
+    no = 0
+    try:
+        for no, row in enumerate(csv.reader(io.StringIO(text or ""), delimiter=delim), 1):
+            yield no, row
+    except csv.Error as ex:                          # this file only; the rest of the batch goes on
+        yield READ_ERROR, [str(ex)]
+
+
+def _split_batches(batches):
+    """Batches of records of a bounded number of rows and cells, over as many files as they take."""
+    csv.field_size_limit(2**31 - 1)                  # a long field is data, not an error
+    for batch in batches:
+        paths, nums, sizes, cells = [], [], [], []
+        for i in range(batch.num_rows):
+            file = [batch.column(c)[i].as_py() for c in range(batch.num_columns)]
+            for no, row in _records(*file):
+                paths.append(file[0])
+                nums.append(no)
+                sizes.append(len(row))
+                cells += row
+                if len(nums) >= CHUNK_ROWS or len(cells) >= CHUNK_CELLS:
+                    yield _record_batch(paths, nums, sizes, cells)
+                    paths, nums, sizes, cells = [], [], [], []
+        if nums:
+            yield _record_batch(paths, nums, sizes, cells)
 
 
-def _split_batches(batches, chunk: int = 20_000):
-    csv.field_size_limit(2**31 - 1)              # a long field is data, not an error
-    for pdf in batches:
-        for path, text, delim in zip(pdf["path"], pdf["text"], pdf["delimiter"]):
-            paths, nums, cells = [], [], []
-            reader = csv.reader(io.StringIO(text or ""), delimiter=delim)
-            no = 0
-            while True:
-                try:
-                    row = next(reader)
-                except StopIteration:
-                    break
-                except csv.Error as ex:              # this file only; the rest of the batch goes on
-                    paths, nums, cells = paths + [path], nums + [READ_ERROR], cells + [[str(ex)]]
-                    break
-                no += 1
-                paths.append(path)
-                nums.append(no)
-                cells.append(row)
-                if len(paths) >= chunk:
-                    yield pd.DataFrame({"path": paths, "record_no": nums, "cells": cells})
-                    paths, nums, cells = [], [], []
-            if paths:
-                yield pd.DataFrame({"path": paths, "record_no": nums, "cells": cells})
+def _record_batch(paths, nums, sizes, cells) -> pa.RecordBatch:
+    ends = pa.array([0, *accumulate(sizes)], pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(paths, pa.string()), pa.array(nums, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(cells, pa.string()))],
+        names=RECORD_SCHEMA.names)
 
 
 def split_records(m: DataFrame) -> DataFrame:
-    """One row per CSV record (``record_no`` 1 = header), quoted
-    delimiters and newlines kept inside cells.  ``m`` needs path, text and
-    delimiter; each file is parsed by one Python task, streamed in chunks."""
-    return m.select("path", "text", "delimiter").mapInPandas(_split_batches, RECORD_SCHEMA)
+    """One row per CSV record (``record_no`` 1 = header), quoted delimiters and newlines kept inside cells, and one
+    ``FILE`` record per file.  ``m`` needs path, tipo, id_unidade, is_empty, text and delimiter; each file is parsed by
+    one Python task, streamed in chunks; empty files have no text to send."""
+    return m.select("path", "tipo", "id_unidade", "is_empty", F.when(~F.col("is_empty"), F.col("text")).alias("text"),
+                    "delimiter").mapInArrow(_split_batches, RECORD_SCHEMA)
 
 
 def _quoted_list(arr: Column) -> Column:
@@ -191,20 +208,23 @@ def validate_files(m: DataFrame, max_errors: int = schemas.MAX_ERRORS_PER_FILE,
     names), read_error (why a file could not be read; such a file is ERROR and
     its batch goes on); records = data records of every file
     (path, record_no, cells) for the caller to keep for valid files only.
-    ``materialize`` (DataFrame -> DataFrame) may store the split records once
-    (e.g. as a table in the shared folder) so both outputs reuse one parse.
+    ``materialize`` (DataFrame -> DataFrame) may store the split records and
+    the file headers once (e.g. as tables in the shared folder) so both outputs
+    reuse one parse and no later pass reads a file again.
     """
     m = m.withColumn("delimiter", detect_delimiter(F.col("text")))
     empty = F.coalesce(F.length(C.clean("text")), F.lit(0)) == 0
-    files = m.withColumn("is_empty", empty)
-    recs = split_records(files.filter(~F.col("is_empty")))
+    recs = split_records(m.withColumn("is_empty", empty))
     if materialize is not None:
         recs = materialize(recs)
 
     expected, cmap = _contract_arrays()
     header = (recs.filter(F.col("record_no") == 1)
                   .select("path", F.transform("cells", C.normalize_header_name).alias("raw_header")))
-    hdr = files.select("path", "tipo", "id_unidade", "is_empty").join(header, "path", "left")
+    files = recs.filter(F.col("record_no") == FILE).select(
+        "path", F.col("cells")[0].alias("tipo"), F.col("cells")[1].cast("bigint").alias("id_unidade"),
+        F.col("cells")[2].cast("boolean").alias("is_empty"))
+    hdr = files.join(header, "path", "left")
     hdr = hdr.withColumn("header", F.transform(
         "raw_header", lambda h: F.coalesce(F.try_element_at(cmap, F.lower(h)), h)))
     missing = F.array_sort(F.array_except(expected, F.col("header")))
@@ -215,13 +235,15 @@ def validate_files(m: DataFrame, max_errors: int = schemas.MAX_ERRORS_PER_FILE,
         lambda x: x.isNotNull())
     hdr = hdr.withColumn("schema_errors", F.when(F.col("is_empty"), F.array().cast("array<string>"))
                          .otherwise(schema_errors))
+    if materialize is not None:
+        hdr = materialize(hdr)                       # one row per file: joins of records with it know how small it is
 
     # V4: width errors among non-blank data records, first ``max_errors``.
     # V4/V5 only for files whose header passed V1-V3.
     width = hdr.filter(~F.col("is_empty") & (F.size("schema_errors") == 0)).select(
         "path", F.size("header").alias("n_cols"), "tipo", "id_unidade", "header")
     data = recs.filter(F.col("record_no") > 1).join(width, "path")
-    blank = F.size(F.filter("cells", lambda c: F.length(C.clean(c)) > 0)) == 0
+    blank = ~F.exists("cells", lambda c: F.length(C.clean(c)) > 0)
     data = data.withColumn("blank", blank)
     bad = data.filter(~F.col("blank") & (F.size("cells") != F.col("n_cols")))
     w = Window.partitionBy("path").orderBy("record_no")

@@ -77,7 +77,8 @@ def check_handler(spark: SparkSession, root: str, checked: str, checkpoint: str)
 
 
 def check_files(files: DataFrame) -> DataFrame:
-    errors, _ = validate_files(decode_text(files).select("path", "tipo", "id_unidade", "text"))
+    errors, _ = validate_files(decode_text(files).select("path", "tipo", "id_unidade", "text"),
+                               materialize=lambda df: stored.kept(df, "checked-records"))
     out = files.join(errors, "path", "left").withColumn("valid", F.coalesce(F.size("errors") == 0, F.lit(False)))
     return out.select(*[c.split()[0] for c in CHECKED.split(", ")])
 
