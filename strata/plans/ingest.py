@@ -207,12 +207,15 @@ def landing_batch(spark, root: str, log: DataFrame, batch_id: str, batch_ts: dt.
     def materialize(df: DataFrame) -> DataFrame:
         # The files are read and parsed once, into a table in the shared
         # folder: every later output reuses it and a lost executor never
-        # re-runs the parse (lineage is cut at the written table).
+        # re-runs the parse (lineage is cut at the written table).  Of the
+        # tables with a row per file Spark knows the size, so records are
+        # joined with them where they lie as long as they are small.
         path = scratch_path(spark, f"landing-records-{batch_id}")
-        df.write.mode("errorifexists").parquet(path)
-        return spark.read.parquet(path)
+        df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
-    valid, invalid = scan_landing(spark, root, data_ref)
+    found, invalid = scan_landing(spark, root, data_ref)
+    valid = materialize(found.drop("content"))
     pairs = forced_pairs(spark, forced)
     # a file whose content is already loaded is skipped whatever it holds, so only the others are decoded and parsed
     seen = loaded_hashes(log, hash_scope).drop("_seen")
@@ -220,15 +223,15 @@ def landing_batch(spark, root: str, log: DataFrame, batch_id: str, batch_ts: dt.
     if pairs is not None:
         again = valid.join(pairs, ["id_unidade", "data_ref"], "left_semi").join(seen, [*hash_scope, "file_hash"], "left_semi")
         todo = todo.unionByName(again.select(*todo.columns))
-    decoded = decode_text(todo)
+    decoded = decode_text(found.join(todo.select("path"), "path", "left_semi"))
     errors, records = validate_files(decoded.select("path", "tipo", "id_unidade", "text"),
                                      materialize=materialize)
     files = valid.join(errors, "path", "left").withColumn(
         "valid", F.coalesce(F.size("errors") == 0, F.lit(False)))
-    plan = plan_files(files.select("path", "rel", "id_unidade", "tipo", "data_ref", "file_hash", "valid",
-                                   "errors", "read_error"),
-                      log, pairs, hash_scope).checkpoint()
-    counts = records.groupBy("path").agg(F.count(F.lit(1)).alias("row_count"))
+    plan = materialize(plan_files(files.select("path", "rel", "id_unidade", "tipo", "data_ref", "file_hash", "valid",
+                                               "errors", "read_error"),
+                                  log, pairs, hash_scope))
+    counts = materialize(records.groupBy("path").agg(F.count(F.lit(1)).alias("row_count")))
     raw = {}
     for tipo in schemas.EXPECTED_COLUMNS:
         rows = contract_rows(records.join(plan.filter((F.col("tipo") == tipo) & (F.col("action") == "LOAD"))
@@ -297,7 +300,8 @@ def commit_steps(out: dict[str, DataFrame], base: str, batch_id: str, attempt: s
     by = ["_batch", "_attempt"]
     steps = [lambda: storage.append(log.filter(started), f"{base}/log", by)]
     for tipo, rows in out["raw"].items():
-        steps.append(lambda t=tipo, r=rows: storage.append(r.withColumns(mark), f"{base}/raw_{t}", by))
+        # an attempt's rows are one partition: nothing to bring together, every task writes what it read
+        steps.append(lambda t=tipo, r=rows: storage.append(r.withColumns(mark), f"{base}/raw_{t}", by, spread=True))
     steps.append(lambda: storage.append(out["quarantine"].withColumns(mark), f"{base}/quarantine", by))
     steps.append(lambda: storage.append(log.filter(~started), f"{base}/log", by))
     return steps

@@ -38,8 +38,11 @@ def _writer(df: DataFrame, by: Sequence[str] | None, sort_by: Sequence[str] | No
 
 
 def append(df: DataFrame, path: str, by: Sequence[str] | None = None,
-           sort_by: Sequence[str] | None = None) -> None:
-    """Append-only write."""
+           sort_by: Sequence[str] | None = None, spread: bool = False) -> None:
+    """Append-only write.  ``spread``: no shuffle, every task writes its own files (for constant ``by``)."""
+    if spread:
+        df.write.partitionBy(*by or ()).mode("append").option("compression", "zstd").parquet(path)
+        return
     _writer(df, by, sort_by).mode("append").parquet(path)
 
 

@@ -203,3 +203,40 @@ def test_replanned_batch_loads_once(spark, tmpdir_path, steps):
     assert [r["row_count"] for r in log if r["status"] == "LOADED"] == [1]
     assert not [r for r in log if r["status"] == "STARTED"]
     assert sorted(r["batch_id"] for r in I.quarantined(spark, base).collect()) == ["b1", "b2"]
+
+
+def test_small_files_share_a_batch_of_records_and_long_ones_are_cut(monkeypatch):
+    import pyarrow as pa
+
+    from strata.sources import landing as L
+    cols = ["path", "tipo", "id_unidade", "is_empty", "text", "delimiter"]
+    rows = [("a", "pedido", 1, False, "x;y\n1;2\n", ";"), ("b", "pedido", 2, True, None, ";"), ("c", "pedido", 3, False, "z\n\"1\n2\"\n", ";")]
+    batch = pa.RecordBatch.from_pydict({c: [r[i] for r in rows] for i, c in enumerate(cols)})
+    (out,) = L._split_batches([batch])
+    got = [(r["path"], r["record_no"], r["cells"]) for r in out.to_pylist()]
+    assert got == [("a", 0, ["pedido", "1", "False"]), ("a", 1, ["x", "y"]), ("a", 2, ["1", "2"]), ("b", 0, ["pedido", "2", "True"]),
+                   ("c", 0, ["pedido", "3", "False"]), ("c", 1, ["z"]), ("c", 2, ["1\n2"])]
+    monkeypatch.setattr(L, "CHUNK_CELLS", 4)
+    cut = list(L._split_batches([batch]))
+    assert len(cut) > 1 and [r for b in cut for r in b.to_pylist()] == out.to_pylist()
+
+
+def test_contents_are_not_joined(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "incoming/pedido/id_unidade=1/dt=2026-01-01")
+    os.makedirs(folder)
+    for name, data in (("a.csv", b"x"), ("b.csv", b"")):
+        with open(os.path.join(folder, name), "wb") as f:
+            f.write(data)
+    from strata.sources.landing import scan_landing
+    valid, _ = scan_landing(spark, tmpdir_path)
+    assert sorted((os.path.basename(r["path"]), bytes(r["content"])) for r in valid.collect()) == [("a.csv", b"x"), ("b.csv", b"")]
+    plan = valid.select("path", "content")._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union"                 # the join with the listing is below, over names only
+
+
+def test_rows_of_an_attempt_are_written_where_they_are(spark, tmpdir_path):
+    from strata.sinks import storage
+    rows = spark.range(0, 100, 1, 4).withColumn("_batch", F.lit("b"))
+    storage.append(rows, tmpdir_path, ["_batch"], spread=True)
+    back = spark.read.parquet(tmpdir_path)
+    assert back.count() == 100 and len(back.inputFiles()) == 4
