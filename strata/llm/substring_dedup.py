@@ -208,6 +208,8 @@ def marks(docs: DataFrame, finish, schema, window: int = WINDOW, rounds: int = R
         np.add.at(cover, lo[on] + 1, -1)
         take = np.cumsum(cover)[:len(t.names) + 1] > 0
         take[alone] = True
+        del name, lo, hi, on, known, cover, alone    # the anchors' arrays go before the names of windows are sorted
+        C.give_back()
         starts = window_starts(t.words.first, window)
         at = starts[take[starts]]
         if len(at):
