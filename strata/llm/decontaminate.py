@@ -67,6 +67,19 @@ def is_in(x: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, x), len(table) - 1)] == x
 
 
+def so_far(flags: np.ndarray) -> np.ndarray:
+    """How many of the flags before each place, and before the end, are set."""
+    out = np.zeros(len(flags) + 1, np.int32)
+    np.cumsum(flags, out=out[1:])
+    return out
+
+
+def passes(h: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    """Places of the hashes whose bit is set."""
+    cells = h & T.U(FILTER_BITS - 1)
+    return np.flatnonzero((bitmap[(cells >> T.U(5)).astype(np.int32)] >> (cells & T.U(31)).astype(np.uint32)) & 1)
+
+
 class Templates:
     """Template names of the words of some texts, and their surface spans."""
 
@@ -89,48 +102,58 @@ class Templates:
             more = more[PUNCT[buf[end[more] - 1]]]
             end[more] -= 1
         name = T.span_names(low, start, end)
-        digits = np.r_[0, np.cumsum(DIGIT[buf])]
+        digits = so_far(DIGIT[buf])
         number = (digits[end] > digits[start]) | is_in(name, NUMBERS)
+        del digits, low
         head = np.minimum(start, max(len(buf) - 1, 0))
         capital = ((upper[head] | (np.r_[two[1:], False][head] if len(buf) else upper[head])) & (start < end)) if len(start) \
             else np.zeros(0, bool)
         begins = np.ones(len(start), bool)           # after a stop, a line break or at the front of a text
         if len(start) > 1:
-            lines = np.r_[0, np.cumsum(buf == 10)]
+            lines = so_far(buf == 10)
             begins[1:] = stops[:-1] | (lines[w.start[1:]] > lines[w.start[:-1]])
+            del lines
             begins[w.first[:-1][w.first[:-1] < len(start)]] = True
         after_number = np.r_[False, number[:-1]] if len(start) else number
         if len(start):
             after_number[w.first[:-1][w.first[:-1] < len(start)]] = False
         unit = ~number & after_number & is_in(name, UNITS)
         proper = ~number & ~unit & capital & ~begins
-        self.slot = np.where(number, 1, np.where(unit, 2, np.where(proper, 3, 0)))
+        self.slot = np.where(number, 1, np.where(unit, 2, np.where(proper, 3, 0))).astype(np.int8)
         out = name.copy()
         out[number], out[unit], out[proper] = NUMBER, UNIT, NAME
         self.names, self.first, self.surface = out, w.first, name
-        self.words = w
 
-    def windows(self, lengths=None):
-        """(hash, text number, start, words, kind) of the windows of ``WINDOW`` words.
+    def windows(self, lengths=None, keep=None):
+        """(hash, text number, start, words, kind) of the windows of ``WINDOW`` words, of those whose hash ``keep`` takes.
 
         The kind is ``TEXT`` where at least half of the template words are literal, else ``SHAPE``; windows near or below
         that share come as ``LITERAL`` ones (their words as they stand) too.  Without ``lengths`` a shorter text has its
-        whole sequence as one window; with them texts have all windows of each of these lengths.
+        whole sequence as one window; with them texts have all windows of each of these lengths.  ``keep`` is asked per length
+        and kind, so only one set of hashes is held at a time.
         """
         parts = []
         count = np.diff(self.first)
-        lit = np.r_[0, np.cumsum(self.slot == 0)]
+        lit = so_far(self.slot == 0)
         for k in lengths or [WINDOW]:
             h, off = T.shingles(self.names, self.first, k)
-            plain, _ = T.shingles(self.surface, self.first, k)
             doc = np.repeat(np.arange(len(off) - 1), np.diff(off))
             at = self.first[:-1][doc] + np.arange(len(h)) - off[:-1][doc]
             size = np.minimum(count, k)[doc]
             words = lit[at + size] - lit[at]
-            text, fits = 2 * words >= size, (size == k) | (lengths is None)
-            for kind, x, on in ((TEXT, h, text), (SHAPE, h, ~text), (LITERAL, plain, 2 * words < size + 4)):
+            text, near = 2 * words >= size, 2 * words < size + 4
+            fits = (size == k) | (lengths is None)
+            del words
+            for kind, on in ((TEXT, text), (SHAPE, ~text), (LITERAL, near)):
+                if kind == LITERAL:
+                    h, _ = T.shingles(self.surface, self.first, k)
                 on = np.flatnonzero(on & fits)
-                parts.append((T.mix(x[on] ^ SALTS[kind]), doc[on], at[on], size[on], np.full(len(on), kind)))
+                x = T.mix(h[on] ^ SALTS[kind])
+                if keep is not None:
+                    some = keep(x)
+                    on, x = on[some], x[some]
+                parts.append((x, doc[on], at[on], size[on], np.full(len(on), kind)))
+            del h, x, off, doc, at, size, text, near, fits
         return tuple(np.concatenate(x) for x in zip(*parts))
 
     def slots(self, at: int, size: int, kind: int = 0) -> list[int]:
@@ -179,13 +202,10 @@ def find(chunks: DataFrame, benchmark: DataFrame, text: str = "text", item: str
 
     def look(chunk, rows):
         t = Templates(rows.column(text))
-        h, doc, at, size, of = t.windows(lengths)
-        cells = (h.view(np.int64) % FILTER_BITS).astype(np.int64)
-        on = np.flatnonzero((bitmap.value[cells >> 5] >> (cells & 31).astype(np.uint32)) & 1)
-        if len(on):
-            d, a = doc[on], at[on]
-            yield window_rows(h[on], (chunk << C.ROW_BITS) + d, a - t.first[d], of[on],
-                              [t.slots(*x) for x in zip(a.tolist(), size[on].tolist(), of[on].tolist())])
+        h, doc, at, size, of = t.windows(lengths, lambda x: passes(x, bitmap.value))
+        if len(h):
+            yield window_rows(h, (chunk << C.ROW_BITS) + doc, at - t.first[doc], of,
+                              [t.slots(*x) for x in zip(at.tolist(), size.tolist(), of.tolist())])
 
     seen = C.write_table(C.over_chunks(chunks, look, SCHEMA), "windows")
     shift = (F.col("pos") - F.col("ipos")).alias("shift")

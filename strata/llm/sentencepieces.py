@@ -24,9 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from strata.llm import tokens as T
+from strata.session import small_batches
 
 META = "▁"
-SLICE = 4 << 20
+SLICE = 1 << 20                                     # of text; its symbols take some 130 bytes a byte while they are merged
 NONE = np.iinfo(np.int32).max
 LONG = 512                                          # symbols; longer segments are merged with a heap instead
 
@@ -114,7 +115,7 @@ class Model:
         """Merge rounds over segments (``first``: n + 1 offsets).  Returns the start of each final symbol among the
         input symbols and the final symbols, in order."""
         n = len(sym)
-        seg = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        seg = np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first))
         done_at, done_sym = [], []
         long_ = np.flatnonzero(np.diff(first) > LONG)
         for s in long_:
@@ -122,7 +123,8 @@ class Model:
             done_at.append(at + first[s])
             done_sym.append(out)
         live = ~np.isin(seg, long_) if len(long_) else np.ones(n, bool)
-        at, cur, seg = np.flatnonzero(live), sym[live].astype(np.int32), seg[live]
+        at, cur, seg = np.flatnonzero(live).astype(np.int32), sym[live].astype(np.int32), seg[live]
+        del live
         rank = np.full(len(cur), NONE, np.int32)
         made = np.full(len(cur), -1, np.int32)
         if len(cur):
@@ -147,7 +149,7 @@ class Model:
             gone = np.zeros(len(cur), bool)
             gone[hit + 1] = True
             stay = ~gone
-            moved = np.cumsum(stay) - 1
+            moved = np.cumsum(stay, dtype=np.int32) - np.int32(1)
             at, cur, seg, rank, made = at[stay], cur[stay], seg[stay], rank[stay], made[stay]
             spot = moved[hit]
             rank[spot], made[spot] = NONE, -1
@@ -203,8 +205,10 @@ class Model:
         """Ids of the segments [start, end) of ``code``, flat, and the n + 1 offsets."""
         size = end - start
         first = np.r_[0, np.cumsum(size)]
-        place = np.repeat(start - first[:-1], size) + np.arange(first[-1])
+        place = np.repeat((start - first[:-1]).astype(np.int32), size)
+        place += np.arange(first[-1], dtype=np.int32)
         chars = code[place]
+        del place
         at, sym = self.merge(self.sym_of_char[chars], first)
         known = (sym >= 0) & (sym < len(self.bytes_of))
         seg = np.searchsorted(first, at, "right") - 1
@@ -255,7 +259,7 @@ def code_points(rows: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray
     """Code points of all texts, each non-empty one after a dummy space, and the offsets of the texts."""
     texts = [" " + t if t else "" for t in rows.column(text).to_pylist()]
     off = np.r_[0, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))]
-    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64), off
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32), off
 
 
 def encoded(m: Model, rows: pa.RecordBatch, text: str):
@@ -263,9 +267,9 @@ def encoded(m: Model, rows: pa.RecordBatch, text: str):
     code, off = code_points(rows, text)
     start = m.segments(code, off)
     end = np.r_[start[1:], len(code)] if len(start) else start
-    raw = code.astype(np.uint32).view(np.uint8)
-    names = T.span_names(raw, start * 4, end * 4)
+    names = T.span_names(code.view(np.uint8), start * 4, end * 4)
     _, first, which = np.unique(names, return_index=True, return_inverse=True)
+    del names
     ids, id_off = m.encode_unique(code, start[first], end[first])
     return ids, id_off, which, np.searchsorted(start, off)
 
@@ -314,6 +318,8 @@ def digests(docs: DataFrame, path: str, text: str = "text", id_col: str = "doc_i
     The ids of a distinct segment are spelled and decoded once per slice, then joined per text.
     """
 
+    small_batches(docs.sparkSession)
+
     def run(batches):
         for batch in batches:
             for rows in T.slices(batch, text, SLICE):

@@ -40,6 +40,7 @@ from strata.llm import tokens as T
 WINDOW = 20
 ROUNDS = 4
 FAR = np.iinfo(np.int64).max
+EDGE = np.iinfo(np.int32).max                        # of places in a chunk, which fit 32 bits
 BASE = 0xD1342543DE82EF95                            # odd, so it has an inverse modulo 2^64
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
@@ -69,36 +70,39 @@ class Spans:
 def recompress(names: np.ndarray, first: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbol names, lo, hi): the deciding span of words of every last-round symbol.
 
-    lo = -1 or hi = FAR where the edge of the text took part in the decision.
+    lo = -1 or hi = EDGE where the edge of the text took part in the decision.
     """
     n = len(names)
-    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    sym, lo, hi = names, np.arange(n), np.arange(n) + 1
+    doc = np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first))
+    lo = np.arange(n, dtype=np.int32)
+    sym, hi = names, lo + np.int32(1)
     for r in range(rounds):
         if len(sym) < 2:
             break
         if r == 0:                                   # runs: maximal, so both neighbours decide
             new = np.r_[True, (sym[1:] != sym[:-1]) | (doc[1:] != doc[:-1])]
-            at = np.flatnonzero(new)
-            size = np.diff(np.r_[at, len(sym)])
-            end = at + size - 1
+            at = np.flatnonzero(new).astype(np.int32)
+            size = np.diff(at, append=np.int32(len(sym)))
+            end = at + size - np.int32(1)
             edge_a = np.r_[True, doc[at[1:]] != doc[at[1:] - 1]]
             edge_b = np.r_[doc[end[:-1]] != doc[end[:-1] + 1], True]
-            left = np.where(edge_a, -1, at - 1)
-            right = np.where(edge_b, FAR, end + 2)
+            left = np.where(edge_a, np.int32(-1), at - np.int32(1))
+            right = np.where(edge_b, np.int32(EDGE), end + np.int32(2))
             sym = np.where(size > 1, T.mix(sym[at] ^ (size.astype(np.uint64) * T.K2)), sym[at])
             lo, hi, doc = left, right, doc[at]
+            del new, at, size, end, edge_a, edge_b, left, right
         kind = (T.mix(sym ^ T.U(r * 2 + 1)) & T.U(1)).astype(bool)          # False: left, True: right
         same = doc[1:] == doc[:-1]
         pair = np.r_[~kind[:-1] & kind[1:] & same, False]
         taken = np.r_[False, pair[:-1]]
         # who stays single was decided by the neighbour it could have paired with
-        prev_lo = np.r_[-1, np.where(same, lo[:-1], -1)]
-        prev_hi = np.r_[hi[:1], np.where(same, hi[:-1], hi[1:])]
-        next_lo = np.r_[np.where(same, lo[1:], lo[:-1]), lo[-1:]]
-        next_hi = np.r_[np.where(same, hi[1:], FAR), FAR]
-        lo2 = np.where(kind, np.minimum(lo, prev_lo), np.minimum(lo, next_lo))
-        hi2 = np.where(kind, np.maximum(hi, prev_hi), np.maximum(hi, next_hi))
+        lo2, hi2 = np.where(kind, np.int32(-1), lo), np.where(kind, hi, np.int32(EDGE))
+        np.copyto(lo2[1:], lo[:-1], where=kind[1:] & same)
+        np.copyto(hi2[1:], hi[:-1], where=kind[1:] & same)
+        np.copyto(lo2[:-1], lo[1:], where=~kind[:-1] & same)
+        np.copyto(hi2[:-1], hi[1:], where=~kind[:-1] & same)
+        np.minimum(lo, lo2, out=lo2)
+        np.maximum(hi, hi2, out=hi2)
         p = np.flatnonzero(pair)
         sym2 = sym.copy()
         sym2[p] = T.mix(T.mix(sym[p] * T.K1) + sym[p + 1])
@@ -106,6 +110,7 @@ def recompress(names: np.ndarray, first: np.ndarray, rounds: int = ROUNDS) -> tu
         hi2[p] = np.maximum(hi[p], hi[p + 1])
         stay = ~taken
         sym, lo, hi, doc = sym2[stay], lo2[stay], hi2[stay], doc[stay]
+        del sym2, lo2, hi2
     return sym, lo, hi
 
 
@@ -114,7 +119,7 @@ def anchors(names: np.ndarray, first: np.ndarray, spans: Spans, window: int, rou
     n = len(names)
     starts = window_starts(first, window)
     sym, lo, hi = recompress(names, first, rounds)
-    ok = (lo >= 0) & (hi < FAR)
+    ok = (lo >= 0) & (hi < EDGE)
     sym, lo, hi = sym[ok], lo[ok], hi[ok]
     fit = hi - lo <= window
     sym, lo, hi = sym[fit], lo[fit], hi[fit]
@@ -203,7 +208,7 @@ def marks(docs: DataFrame, finish, schema, window: int = WINDOW, rounds: int = R
         if len(known):
             at = np.minimum(np.searchsorted(known, name), len(known) - 1)
             on = known[at] == name
-        cover = np.zeros(len(t.names) + 2, np.int64)  # starts hi - window .. lo of each repeated anchor
+        cover = np.zeros(len(t.names) + 2, np.int32)  # starts hi - window .. lo of each repeated anchor
         np.add.at(cover, np.maximum(hi[on] - window, 0), 1)
         np.add.at(cover, lo[on] + 1, -1)
         take = np.cumsum(cover)[:len(t.names) + 1] > 0

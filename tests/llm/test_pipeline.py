@@ -2,16 +2,20 @@
 
 import hashlib
 import math
+import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
 
 import corpus_pipeline
-from strata.llm import chunks, quality_rules
+from strata.llm import chunks, decontaminate, quality_rules, sentencepieces
+from strata.llm import tokens as T
 from tests.llm.test_operators import SCHEMA, WORD, brute_components, prose
 
 TRUSTED = {3 * i + 1 for i in range(30) if i not in (15, 19, 25)}         # labelled quality 1
@@ -137,3 +141,32 @@ def test_packed_arrays_round_trip():
               r.random(50), r.random(500) < 0.5):
         for back in chunks.spread(memoryview(chunks.squeeze(a, a))):
             assert back.dtype == a.dtype and (back == a).all()
+
+
+def peak(fn):
+    """Most bytes that numpy and Python held at once for ``fn()``."""
+    tracemalloc.start()
+    try:
+        fn()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_chunk_is_bounded(spark):
+    rnd = random.Random(5)
+    texts = pa.array([" ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9))) for _ in range(9_000))
+                      for _ in range(20)])
+    size = len(T.buffers(texts)[0])
+    none = np.zeros(decontaminate.FILTER_BITS // 32, np.uint32)
+    t = decontaminate.Templates(texts)
+    few = peak(lambda: t.windows([8], lambda x: decontaminate.passes(x, none)))
+    many = peak(lambda: t.windows(list(range(1, 9)), lambda x: decontaminate.passes(x, none)))
+    assert many < 1.2 * few                              # windows of one length and kind at a time
+    assert peak(lambda: decontaminate.Templates(texts)) < 25 * size
+    m = sentencepieces.model(public_tokenizers.path("piece_bpe_32k.model"))
+    rows = pa.RecordBatch.from_arrays([texts], names=["text"])
+    parts = list(T.slices(rows, "text", sentencepieces.SLICE))
+    assert peak(lambda: [len(sentencepieces.encoded(m, x, "text")) for x in parts]) < 100 * sentencepieces.SLICE
+    chunks.pack(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
