@@ -1,12 +1,12 @@
 """Source divergence audit: how far the term distributions of a language's sources lie apart, exactly.
 
-Terms become sparse document vectors through ``CountVectorizer`` with ``minDF`` and the largest integer as ``vocabSize``, so
-no term is cut.  A term is joined with its document's language first: a document has one language, so one fit over these
-keys gives every language its own vocabulary and document counts, without a job per language.  The kept terms pass the
-driver, as CountVectorizer works (rarer ones are dropped before); terms are therefore dealt by hash into as many fits as
-keep each at about ``FIT_TERMS`` kept terms.  Vectors are summed per (lang, source) with weights like Summarizer does, but
-as integers over their stored entries only, with partial sums before the shuffle, so a source with a third of all rows is
-one row per term and task.
+A term is joined with its document's language first: a document has one language, so these keys give every language its own
+vocabulary and document counts, without a job per language.  Document counts are added up per task while the terms are
+taken, and over all tasks by key; keys in ``min_df`` documents or more are kept, all of them.  ``CountVectorizer``, fitted
+on the kept keys with the largest integer as ``vocabSize``, turns every document into sparse vectors.  The kept keys pass
+the driver, as CountVectorizer works; they are therefore dealt by hash into as many fits as keep each at about
+``FIT_TERMS``.  Vectors are summed per (lang, source) with weights like Summarizer does, but as integers over their stored
+entries only, added up in the task that makes them, so a source with a third of all rows is one row per term and task.
 
 Pairs: a group is its terms with a count, all others have one and the same probability.  Sources of a language are dealt
 into blocks of about ``BLOCK`` and their terms into buckets of about ``BUCKET``; a task compares two blocks over one bucket
@@ -20,21 +20,23 @@ table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.errors import IllegalArgumentException
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import tokens as T
 from strata.llm.chunks import write_table
-from strata.session import scratch_path
+from strata.session import small_batches
 
 MIN_DF = 10
 FIT_TERMS = 1 << 19                             # kept terms in one fit, about: what the driver and a broadcast hold
-PROBE = 64
+PROBE = 1 << 18                                 # document counts that a task holds before it passes them on
+SUMS = 1 << 19                                  # and entries of group sums
 MOST_TERMS = 2**31 - 1
 BLOCK, BUCKET = 64, 4096                        # sources in a block, terms in a bucket, about
 SLICE = 2 << 20
@@ -42,7 +44,7 @@ UNIT = 1_000_000_000
 INSIDE = np.zeros(256, bool)                    # bytes of a term: letters, and every byte of a code point from U+0080 on
 INSIDE[65:91] = INSIDE[97:123] = INSIDE[128:] = True
 SEP = "\x00"                                    # stands in no term
-VECTOR = "lang string, source string, n long, v struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
+ROWS = ["lang", "source", "n", "keys", "key", "df"]
 
 
 def terms(buf: np.ndarray, off: np.ndarray) -> pa.ListArray:
@@ -59,11 +61,12 @@ def terms(buf: np.ndarray, off: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(start, off), pa.int32()), words)
 
 
-def weighted(part: pa.RecordBatch) -> pa.RecordBatch:
-    """Rows (lang, source, n, keys, probe) of a slice: of each text the terms that occur n times, one row per n.
+def weighted(part: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.Table]:
+    """Of a slice: rows (lang, source, n, keys), of each text the terms that occur n times, one row per n; and (key, df), in
+    how many of the slice's texts each key is.
 
-    A document's vector is the sum of its rows, each taken n times; a term is in one row of a document, so document counts
-    are row counts.  A text without terms is one row without keys.  ``probe``: names of every ``PROBE``-th term.
+    A document's vector is the sum of its rows, each taken n times; a term is in one row of a document.  A text without
+    terms is one row without keys.
     """
     found = terms(*T.buffers(part.column("text")))
     coded = found.values.dictionary_encode()
@@ -71,72 +74,138 @@ def weighted(part: pa.RecordBatch) -> pa.RecordBatch:
     doc = pc.list_parent_indices(found).to_numpy().astype(np.int64)
     pair, n = np.unique(doc * n_words + coded.indices.to_numpy().astype(np.int64), return_counts=True)
     doc, word = pair // n_words, pair % n_words
-    order = np.lexsort((n, doc))
+    order = np.argsort(doc * (n.max(initial=0) + 1) + n)
     doc, word, n = doc[order], word[order], n[order]
     start = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (n[1:] != n[:-1])]) if len(doc) else np.zeros(0, np.int64)
     blank = np.setdiff1d(np.arange(part.num_rows), doc)
     row_doc = np.r_[doc[start], blank]
     ends = np.r_[start, np.full(len(blank) + 1, len(doc))]
-    off = T.buffers(words)
-    name = T.span_names(off[0], off[1][:-1], off[1][1:])
-    some = np.flatnonzero(name[word] % np.uint64(PROBE) == 0)
-    keys = pc.binary_join_element_wise(words.take(pa.array(word)), part.column("lang").take(pa.array(doc)), SEP)
-    lists = lambda at, values: pa.ListArray.from_arrays(pa.array(at, pa.int32()), values)
-    return pa.RecordBatch.from_arrays(
+    langs = part.column("lang").dictionary_encode()
+    own, which, df = np.unique(langs.indices.to_numpy().astype(np.int64)[doc] * n_words + word, return_inverse=True,
+                               return_counts=True)
+    keys = pc.binary_join_element_wise(words.take(pa.array(own % n_words)), langs.dictionary.take(pa.array(own // n_words)), SEP)
+    rows = pa.RecordBatch.from_arrays(
         [part.column("lang").take(pa.array(row_doc)), part.column("source").take(pa.array(row_doc)),
-         pa.array(np.r_[n[start], np.zeros(len(blank))].astype(np.int64)), lists(ends, keys),
-         lists(np.searchsorted(some, ends), pa.array(name[word[some]].view(np.int64)))],
-        names=["lang", "source", "n", "keys", "probe"])
+         pa.array(np.r_[n[start], np.zeros(len(blank))].astype(np.int64)),
+         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), keys.take(pa.array(which))),
+         pa.nulls(len(row_doc), pa.string()), pa.nulls(len(row_doc), pa.int64())], names=ROWS)
+    return rows, pa.table({"key": keys, "value": pa.array(df, pa.int64())})
+
+
+class Sums:
+    """(key, value) rows added up by key; of about ``limit`` distinct keys a task holds, it lets go."""
+
+    def __init__(self, limit: int):
+        self.limit, self.held, self.size = limit, [], 0
+
+    def fold(self) -> pa.Table:
+        return pa.concat_tables(self.held).group_by("key", use_threads=False).aggregate([("value", "sum")]).select(
+            ["key", "value_sum"])
+
+    def add(self, part: pa.Table) -> Iterator[pa.Table]:
+        self.held.append(part)
+        self.size += part.num_rows
+        if self.size > 2 * self.limit:
+            some = self.fold()
+            self.held, self.size = [some.rename_columns(["key", "value"])], some.num_rows
+            if self.size > self.limit:
+                self.held, self.size = [], 0
+                yield some
+
+    def rest(self) -> Iterator[pa.Table]:
+        if self.held:
+            yield self.fold()
+
+
+def key_rows(sums: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+    for got in sums:
+        k = got.num_rows
+        none = [pa.nulls(k, t) for t in (pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()))]
+        yield from pa.table([*none, *got.columns], names=ROWS).to_batches(1 << 16)
 
 
 def keyed(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, n, keys, probe): every document's terms, each with its language, see ``weighted``; a written table."""
+    """A written table of two kinds of rows, with nulls in each other's columns: (lang, source, n, keys), every document's
+    terms, each with its language, see ``weighted``; and (key, df), document counts of keys, added up per task."""
+    limit = PROBE
 
     def run(batches):
+        sums = Sums(limit)
         for batch in batches:
             for part in T.slices(batch, "text", SLICE):
-                yield weighted(part)
+                rows, df = weighted(part)
+                yield rows
+                yield from key_rows(sums.add(df))
+        yield from key_rows(sums.rest())
 
+    small_batches(docs.sparkSession)
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n)
                          for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
-    return write_table(rows.mapInArrow(run, "lang string, source string, n long, keys array<string>, probe array<long>"), "terms")
-
-
-def count_vectors(rows: DataFrame, min_df: int) -> DataFrame | None:
-    """(lang, source, term, count) of the kept terms of ``rows``; None if there are none."""
-    cv = CountVectorizer(inputCol="keys", outputCol="v", minDF=float(min_df), vocabSize=MOST_TERMS)
-    try:
-        model = cv.fit(rows.select("keys"))
-    except IllegalArgumentException as ex:
-        if "vocabulary size should be > 0" not in str(ex):
-            raise
-        return None
-    spark = rows.sparkSession
-    path = scratch_path(spark, "vectors")
-    model.transform(rows.select("lang", "source", "n", "keys")).select("lang", "source", "n", "v").write.parquet(path)
-    stored = spark.read.schema(VECTOR).parquet(path)        # vectors, read as the plain columns that they are
-    sums = stored.select("lang", "source", "n", F.explode("v.indices").alias("i")).groupBy("lang", "source", "i").agg(
-        F.sum("n").alias("count"))
+    return write_table(rows.mapInArrow(run, "lang string, source string, n long, keys array<string>, key string, df long"), "terms")
+
+
+def group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, i, count) from rows (lang, source, n, v): vectors taken n times and added up per group, over a task's
+    stored entries."""
+    place, names, sums = {}, [], Sums(SUMS)
+
+    def out(tables):
+        for got in tables:
+            key = got.column("key").to_numpy()
+            group = pa.array(key >> 32)
+            yield from pa.table({"lang": pa.array([x for x, _ in names], pa.string()).take(group),
+                                 "source": pa.array([x for _, x in names], pa.string()).take(group),
+                                 "i": pa.array((key & 0xFFFFFFFF).astype(np.int32)), "count": got.column("value_sum")}).to_batches(1 << 16)
+
+    for batch in batches:
+        lang, source = batch.column("lang").dictionary_encode(), batch.column("source").dictionary_encode()
+        wide = max(len(source.dictionary), 1)
+        pair, which = np.unique(lang.indices.to_numpy().astype(np.int64) * wide + source.indices.to_numpy(), return_inverse=True)
+        group = np.zeros(len(pair), np.int64)
+        for k, x in enumerate(pair.tolist()):
+            name = lang.dictionary[x // wide].as_py(), source.dictionary[x % wide].as_py()
+            if name not in place:
+                place[name] = len(names)
+                names.append(name)
+            group[k] = place[name]
+        v = batch.column("v")
+        indices, values = v.field("indices"), v.field("values")
+        row = pc.list_parent_indices(indices).to_numpy()
+        count = batch.column("n").to_numpy()[row] * values.flatten().to_numpy().astype(np.int64)
+        key = (group[which][row] << 32) | indices.flatten().to_numpy().astype(np.int64)
+        yield from out(sums.add(pa.table({"key": key, "value": count})))
+    yield from out(sums.rest())
+
+
+def count_vectors(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """(lang, source, term, count) of the ``kept`` keys in the documents' ``rows``."""
+    model = CountVectorizer(inputCol="keys", outputCol="v", minDF=1.0, vocabSize=MOST_TERMS).fit(
+        kept.select(F.array("key").alias("keys")))
+    vectors = model.transform(rows).select("lang", "source", "n", "v")
+    sums = vectors.mapInArrow(group_sums, "lang string, source string, i int, count long").groupBy("lang", "source", "i").agg(
+        F.sum("count").alias("count"))
     words = pa.table({"i": pa.array(np.arange(len(model.vocabulary)), pa.int32()),
                       "key": pa.array(model.vocabulary, pa.string())})
-    words = write_table(spark.createDataFrame(words), "vocabulary")
+    words = write_table(rows.sparkSession.createDataFrame(words), "vocabulary")
     return sums.join(words, "i").select("lang", "source", F.substring_index("key", SEP, 1).alias("term"), "count")
 
 
-def kept_terms(rows: DataFrame, min_df: int) -> int:
-    """About how many terms are kept, from the document counts of every ``PROBE``-th term; it only sizes the fits."""
-    often = rows.select("lang", F.explode("probe").alias("k")).groupBy("lang", "k").count().where(F.col("count") >= min_df)
-    return often.count() * PROBE
+def documents(rows: DataFrame) -> DataFrame:
+    return rows.where("lang is not null").select("lang", "source", "n", "keys")
 
 
 def counts(rows: DataFrame, min_df: int = MIN_DF, fit_terms: int = FIT_TERMS) -> DataFrame:
     """(lang, source, term, count) with count > 0, of the terms in at least ``min_df`` documents of their language."""
-    fits, out = kept_terms(rows, min_df) // fit_terms + 1, None
+    kept = write_table(rows.where("key is not null").groupBy("key").agg(F.sum("df").alias("df")).where(F.col("df") >= min_df)
+                       .select("key"), "kept")
+    fits, out = kept.count() // fit_terms + 1, None
     for i in range(fits):
-        part = rows if fits == 1 else rows.withColumn(
-            "keys", F.filter("keys", lambda k: F.pmod(F.xxhash64(k), F.lit(fits)) == i))
-        got = count_vectors(part, min_df)
-        if got is not None:
+        mine = lambda k: F.pmod(F.xxhash64(k), F.lit(fits)) == i
+        part, some = documents(rows), kept
+        if fits > 1:
+            part, some = part.withColumn("keys", F.filter("keys", mine)), kept.where(mine(F.col("key")))
+        if some.limit(1).count():
+            got = count_vectors(part, some)
             out = got if out is None else out.unionByName(got)
     if out is None:
         return rows.sparkSession.createDataFrame([], "lang string, source string, term string, count long")
@@ -234,7 +303,7 @@ def audit(docs: DataFrame, min_df: int = MIN_DF, top: int = 10, text: str = "tex
     (``term``) of every source, the farthest first."""
     rows = keyed(docs, text, lang, source)
     found = counts(rows, min_df)
-    g, langs = groups(rows, found)
+    g, langs = groups(documents(rows), found)
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
     pair = pairs(found, g).withColumn("rank", rank).withColumn("part", F.lit("pair"))
     term = marks(found, g, langs).withColumn("rank", rank).where(F.col("rank") <= top).withColumn("part", F.lit("term"))

@@ -96,6 +96,22 @@ def test_audit_without_kept_terms(docs, none):
     assert divergence.audit(none).collect() == []
 
 
+def test_rare_terms_reach_no_fit(spark, monkeypatch):
+    """The fit meets each kept key once, however many documents have it, and no rarer one."""
+    fitted = []
+
+    class Counted(divergence.CountVectorizer):
+        def _fit(self, dataset):
+            fitted.extend(k for r in dataset.collect() for k in r[0])
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(divergence, "CountVectorizer", Counted)
+    data = [(i, f"often Often rare{chr(97 + i // 9)} {'x' * (i + 1)} tenth{chr(97 + i // 10)}", "en", f"s{i % 3}", 1) for i in range(90)] + [(99, "often", "de", "s1", 1)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").repartition(7)
+    assert sorted(tuple(r) for r in divergence.audit(df).collect()) == brute_audit(data, 10)
+    assert sorted(fitted) == ["often\0en", *(f"tenth{chr(97 + i)}\0en" for i in range(9))]
+
+
 def test_probability_of_huge_counts(spark):
     c, n, v = 9 * 10**15, 10**16, 10**7
     df = spark.createDataFrame([(c, n, v)], "c long, n long, v long")
