@@ -20,6 +20,7 @@ table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,7 @@ MIN_DF = 10
 FIT_TERMS = 1 << 19                             # kept terms in one fit, about: what the driver and a broadcast hold
 PROBE = 1 << 18                                 # document counts that a task holds before it passes them on
 SUMS = 1 << 19                                  # and entries of group sums
+PART = 1 << 10                                  # entries of a group's vector that go to one bucket
 MOST_TERMS = 2**31 - 1
 BLOCK, BUCKET = 64, 4096                        # sources in a block, terms in a bucket, about
 SLICE = 2 << 20
@@ -144,37 +146,73 @@ def keyed(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     return write_table(rows.mapInArrow(run, "lang string, source string, n long, keys array<string>, key string, df long"), "terms")
 
 
-def group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, i, count) from rows (lang, source, n, v): vectors taken n times and added up per group, over a task's
-    stored entries."""
-    place, names, sums = {}, [], Sums(SUMS)
-
-    def out(tables):
-        for got in tables:
-            key = got.column("key").to_numpy()
-            group = pa.array(key >> 32)
-            yield from pa.table({"lang": pa.array([x for x, _ in names], pa.string()).take(group),
-                                 "source": pa.array([x for _, x in names], pa.string()).take(group),
-                                 "i": pa.array((key & 0xFFFFFFFF).astype(np.int32)), "count": got.column("value_sum")}).to_batches(1 << 16)
-
-    for batch in batches:
-        lang, source = batch.column("lang").dictionary_encode(), batch.column("source").dictionary_encode()
-        wide = max(len(source.dictionary), 1)
-        pair, which = np.unique(lang.indices.to_numpy().astype(np.int64) * wide + source.indices.to_numpy(), return_inverse=True)
-        group = np.zeros(len(pair), np.int64)
-        for k, x in enumerate(pair.tolist()):
-            name = lang.dictionary[x // wide].as_py(), source.dictionary[x % wide].as_py()
-            if name not in place:
-                place[name] = len(names)
-                names.append(name)
-            group[k] = place[name]
-        v = batch.column("v")
-        indices, values = v.field("indices"), v.field("values")
-        row = pc.list_parent_indices(indices).to_numpy()
-        count = batch.column("n").to_numpy()[row] * values.flatten().to_numpy().astype(np.int64)
-        key = (group[which][row] << 32) | indices.flatten().to_numpy().astype(np.int64)
-        yield from out(sums.add(pa.table({"key": key, "value": count})))
-    yield from out(sums.rest())
+def group_sums(buckets: int):
+    """Rows (lang, source, n, v) -> a row per bucket: the vectors taken n times and added up per group, over a task's stored
+    entries; ``PART`` entries of a group's vector go to one bucket.  A row lists its groups, and per entry the group's place
+    in that list, the index and the count."""
+
+    def run(batches):
+        place, names, seeds, sums = {}, [], [], Sums(SUMS)
+
+        def out(tables):
+            for got in tables:
+                key, count = got.column("key").to_numpy(), got.column("value_sum").to_numpy()
+                cell = np.array(seeds, np.uint64)[key >> 32] << T.U(32) | ((key & 0xFFFFFFFF) // PART).astype(np.uint64)
+                bucket = (T.mix(cell) % T.U(buckets)).astype(np.int64)
+                order = np.argsort(bucket)
+                key, count, bucket = key[order], count[order], bucket[order]
+                here, first = np.unique(bucket, return_index=True)
+                own, which = np.unique(bucket * len(names) + (key >> 32), return_inverse=True)
+                cut = np.searchsorted(own // len(names), here)
+                at, to = pa.array(np.r_[first, len(key)], pa.int32()), pa.array(np.r_[cut, len(own)], pa.int32())
+                lists = lambda off, values: pa.ListArray.from_arrays(off, values)
+                group = pa.array(own % len(names))
+                yield from pa.table({
+                    "bucket": pa.array(here, pa.int32()),
+                    "lang": lists(to, pa.array([x for x, _ in names], pa.string()).take(group)),
+                    "source": lists(to, pa.array([x for _, x in names], pa.string()).take(group)),
+                    "g": lists(at, pa.array(which - np.repeat(cut, np.diff(np.r_[first, len(key)])), pa.int32())),
+                    "i": lists(at, pa.array((key & 0xFFFFFFFF).astype(np.int32))),
+                    "count": lists(at, pa.array(count))}).to_batches(1 << 8)
+
+        for batch in batches:
+            lang, source = batch.column("lang").dictionary_encode(), batch.column("source").dictionary_encode()
+            wide = max(len(source.dictionary), 1)
+            pair, which = np.unique(lang.indices.to_numpy().astype(np.int64) * wide + source.indices.to_numpy(), return_inverse=True)
+            group = np.zeros(len(pair), np.int64)
+            for k, x in enumerate(pair.tolist()):
+                name = lang.dictionary[x // wide].as_py(), source.dictionary[x % wide].as_py()
+                if name not in place:
+                    place[name] = len(names)
+                    names.append(name)
+                    seeds.append(zlib.crc32(SEP.join(name).encode()))
+                group[k] = place[name]
+            v = batch.column("v")
+            indices, values = v.field("indices"), v.field("values")
+            row = pc.list_parent_indices(indices).to_numpy()
+            count = batch.column("n").to_numpy()[row] * values.flatten().to_numpy().astype(np.int64)
+            key = (group[which][row] << 32) | indices.flatten().to_numpy().astype(np.int64)
+            yield from out(sums.add(pa.table({"key": key, "value": count})))
+        yield from out(sums.rest())
+
+    return run
+
+
+def bucket_sums(table: pa.Table) -> pa.Table:
+    """(lang, source, i, count) of a bucket from the rows of all tasks."""
+    column = {c: table.column(c).combine_chunks() for c in ("lang", "source", "g", "i", "count")}
+    flat = {c: x.flatten() for c, x in column.items()}
+    lang, source = flat["lang"].dictionary_encode(), flat["source"].dictionary_encode()
+    wide = len(source.dictionary)
+    own, which = np.unique(lang.indices.to_numpy().astype(np.int64) * wide + source.indices.to_numpy(), return_inverse=True)
+    names_of = np.r_[0, np.cumsum(pc.list_value_length(column["lang"]).to_numpy())]
+    group = which[names_of[pc.list_parent_indices(column["i"]).to_numpy()] + flat["g"].to_numpy()]
+    entries = pa.table({"key": (group << 32) | flat["i"].to_numpy(), "value": flat["count"]})
+    got = entries.group_by("key", use_threads=False).aggregate([("value", "sum")])
+    key = got.column("key").to_numpy()
+    pair = own[key >> 32]
+    return pa.table({"lang": lang.dictionary.take(pa.array(pair // wide)), "source": source.dictionary.take(pa.array(pair % wide)),
+                     "i": pa.array((key & 0xFFFFFFFF).astype(np.int32)), "count": got.column("value_sum")})
 
 
 def count_vectors(rows: DataFrame, kept: DataFrame) -> DataFrame:
@@ -182,8 +220,10 @@ def count_vectors(rows: DataFrame, kept: DataFrame) -> DataFrame:
     model = CountVectorizer(inputCol="keys", outputCol="v", minDF=1.0, vocabSize=MOST_TERMS).fit(
         kept.select(F.array("key").alias("keys")))
     vectors = model.transform(rows).select("lang", "source", "n", "v")
-    sums = vectors.mapInArrow(group_sums, "lang string, source string, i int, count long").groupBy("lang", "source", "i").agg(
-        F.sum("count").alias("count"))
+    buckets = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sums = vectors.mapInArrow(group_sums(buckets), "bucket int, lang array<string>, source array<string>, g array<int>, "
+                              "i array<int>, count array<long>").groupBy("bucket").applyInArrow(
+        bucket_sums, "lang string, source string, i int, count long")
     words = pa.table({"i": pa.array(np.arange(len(model.vocabulary)), pa.int32()),
                       "key": pa.array(model.vocabulary, pa.string())})
     words = write_table(rows.sparkSession.createDataFrame(words), "vocabulary")
