@@ -117,6 +117,81 @@ def test_tree_equals_all_pairs():
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, got.values()))
 
 
+def test_a_block_leaves_nothing_behind():
+    """Blocks of a task follow each other; what one held is free before the next, without a search for cycles."""
+    import gc
+    import weakref
+    import numpy as np
+    sets = [np.unique(np.random.default_rng(i // 3).integers(0, 2**63, 200).astype(np.uint64)) for i in range(90)]
+    gc.collect()
+    gc.disable()
+    try:
+        jaccard_join.link(sets, list(range(90)), 80)
+        last = weakref.ref(sets.pop())
+        sets.clear()
+        assert last() is None
+    finally:
+        gc.enable()
+
+
+def test_stored_sets_are_not_copied(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    rnd = np.random.default_rng(5)
+    sets = [np.unique(rnd.integers(0, 2**63, n).astype(np.uint64)) for n in (3, 0, 700, 41)]
+    col = pa.chunked_array([pa.array([s.tobytes() for s in part], pa.binary()) for part in (sets[:1], sets[:3], sets)])
+    got = jaccard_join.stored_sets(col.slice(2))
+    want = (sets[:1] + sets[:3] + sets)[2:]
+    assert len(got) == len(want) and all((a == b).all() and len(a) == len(b) for a, b in zip(got, want))
+    assert not any(g.flags.owndata for g in got if len(g))
+    # pivots compare a piece of the block at a time and find the same
+    sets = [s for s in sets if len(s)]
+    size = np.array([len(s) for s in sets * 5])
+    roots = []
+    for piece in (1 << 19, 100):
+        monkeypatch.setattr(jaccard_join, "PIECE", piece)
+        root = np.arange(15)
+        jaccard_join.pivot_links(sets * 5, size, root, 80)
+        roots.append(root.tolist())
+    assert roots[0] == roots[1]
+
+
+def test_large_families_are_looked_at_again(spark, monkeypatch):
+    """A crowded sketch can't tell rare shingles and runs texts together; with a sketch of their own they come apart."""
+    rows = []
+    for i in range(60):
+        own, rnd = prose(60, 1000 + i).split(), random.Random(i)
+        rows += [(3 * i, " ".join(own)), (3 * i + 1, " ".join(own[:58])),
+                 (3 * i + 2, " ".join(own[:30] + prose(20, 7 + i % 4).split() + [str(rnd.random()) for _ in range(40)]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    wide = jaccard_join.SKETCH
+    monkeypatch.setattr(jaccard_join, "SKETCH", 64)
+    monkeypatch.setattr(jaccard_join, "MOST_CELLS", 64)
+    seen, plain = [], jaccard_join.apart
+
+    def apart(members, n_buckets, percent, block):
+        monkeypatch.setattr(jaccard_join, "SKETCH", wide)
+        monkeypatch.setattr(jaccard_join, "MOST_CELLS", wide)
+        whole, cut = plain(members, n_buckets, percent, block)
+        seen.append((members.where("cut > 1").count(), cut.count()))
+        return whole, cut
+
+    monkeypatch.setattr(jaccard_join, "apart", apart)
+    got = jaccard_join.classes(df, 3, 80, block=10).collect()
+    assert {r["id"]: (r["n_shingles"], r["component"]) for r in got} == brute_components(rows, 3, 80)
+    assert seen[0][0] > 0 and seen[0][1] == 0
+
+
+def test_blocks_are_bounded_by_their_shingles(spark, monkeypatch):
+    """Few sets with many shingles are cut too, also where the sets of blocks meet."""
+    rows = [(i, " ".join(prose(80, 3).split()[: 60 + i])) for i in range(20)] + [(100 + i, prose(70, 50 + i)) for i in range(5)]
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 200)
+    got = jaccard_join.classes(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80).collect()
+    assert {r["id"]: (r["n_shingles"], r["component"]) for r in got} == brute_components(rows, 3, 80)
+    families = spark.createDataFrame([(n, 1, 90) for n in range(9)], "node long, family long, n long")
+    assert {r["cut"] for r in jaccard_join.place(families, 8000).collect()} == {5}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 200), (200, 150), (300, 300), (7, 3)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
