@@ -200,7 +200,8 @@ def landing_batch(spark, root: str, log: DataFrame, batch_id: str, batch_ts: dt.
     """One landing run as DataFrames: plan, raw rows per type, log and
     quarantine rows, dispositions and the summary.  Nothing is written here;
     ``commit_batch`` writes them in the order that makes a replay harmless."""
-    from strata.sources.landing import contract_rows, decode_text, scan_landing, validate_files
+    from strata.sources.landing import (BOM, contract_rows, detect_delimiter, file_lines, measure_files, scan_names,
+                                        split_lines, validate_records)
 
     from strata.session import scratch_path
 
@@ -214,8 +215,15 @@ def landing_batch(spark, root: str, log: DataFrame, batch_id: str, batch_ts: dt.
         df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    found, invalid = scan_landing(spark, root, data_ref)
-    valid = materialize(found.drop("content"))
+    found, invalid = scan_names(spark, root, data_ref)
+    found = materialize(found)
+    uris = [r["uri"] for r in found.select("uri").filter("uri is not null").collect()]
+    measured = materialize(measure_files(file_lines(spark, root, uris)))
+    # a file without a line is empty or a BOM alone
+    bare = F.when(F.col("length") == 0, F.sha2(F.lit(b"").cast("binary"), 256)).otherwise(F.sha2(F.lit(BOM).cast("binary"), 256))
+    valid = materialize(found.join(measured, "uri", "left").withColumns({
+        "file_hash": F.coalesce("file_hash", bare), "is_empty": F.coalesce("is_empty", F.lit(True)),
+        "delimiter": detect_delimiter(F.coalesce("header", F.lit("")))}).drop("header"))
     pairs = forced_pairs(spark, forced)
     # a file whose content is already loaded is skipped whatever it holds, so only the others are decoded and parsed
     seen = loaded_hashes(log, hash_scope).drop("_seen")
@@ -223,9 +231,11 @@ def landing_batch(spark, root: str, log: DataFrame, batch_id: str, batch_ts: dt.
     if pairs is not None:
         again = valid.join(pairs, ["id_unidade", "data_ref"], "left_semi").join(seen, [*hash_scope, "file_hash"], "left_semi")
         todo = todo.unionByName(again.select(*todo.columns))
-    decoded = decode_text(found.join(todo.select("path"), "path", "left_semi"))
-    errors, records = validate_files(decoded.select("path", "tipo", "id_unidade", "text"),
-                                     materialize=materialize)
+    todo = materialize(todo.select("path", "uri", "tipo", "id_unidade", "is_empty", "utf8", "bom", "ended", "n_lines", "delimiter"))
+    parsed = {r[0]: tuple(r[1:]) for r in todo.filter(~F.col("is_empty")).select(
+        "uri", "path", "utf8", "bom", "ended", "n_lines", "delimiter").collect()}
+    recs = materialize(split_lines(file_lines(spark, root, list(parsed)), parsed))
+    errors, records = validate_records(recs, todo.select("path", "tipo", "id_unidade", "is_empty"), materialize=materialize)
     files = valid.join(errors, "path", "left").withColumn(
         "valid", F.coalesce(F.size("errors") == 0, F.lit(False)))
     plan = materialize(plan_files(files.select("path", "rel", "id_unidade", "tipo", "data_ref", "file_hash", "valid",

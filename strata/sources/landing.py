@@ -4,14 +4,17 @@ structural validation (V1-V6).
 Everything is set-based over a manifest DataFrame with one row per file; the
 only Python on the data path is the CSV record splitter (quoted fields and
 quoted newlines), run per file inside ``mapInArrow`` and streamed in chunks.
+A landing batch reads its files line by line, one file from its first to its
+last line in one task (``file_lines``), so no file is ever held whole.
 """
 
 from __future__ import annotations
 
 import csv
 import datetime as dt
+import hashlib
 import io
-from itertools import accumulate
+from itertools import accumulate, chain, groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,6 +23,7 @@ from pyspark.sql import types as T
 
 from strata import schemas
 from strata.functions import columns as C
+from strata.session import small_batches
 
 # --- fixed values: accepted landing layouts ----------------------------------
 # incoming/<tipo>/id_unidade=<n>/dt=<YYYY-MM-DD>/<name>.csv
@@ -68,30 +72,55 @@ def scan_landing(spark: SparkSession, root: str, data_ref=None) -> tuple[DataFra
     valid: path, rel, tipo, id_unidade, data_ref, length, content, file_hash.
     invalid: path, rel (names outside the layout, quarantined by the caller).
     """
-    # only the accepted prefixes: files moved to processed/ or rejected/ are no input again
-    content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .load(root.rstrip("/") + "/{incoming,raw}")
-               .select(norm_path(F.col("path")).alias("path"), "length", "content"))
-    listed = spark.createDataFrame([(p,) for p in content.inputFiles()], "path string") \
-        .select(norm_path(F.col("path")).alias("path"))
+    content = _landed_files(spark, root).select(norm_path(F.col("path")).alias("path"), "length", "content")
     # only names are joined; contents stay in the tasks that read them
-    m = content.unionByName(listed.join(content.select("path"), "path", "left_anti").select(
-        "path", F.lit(0).cast("bigint").alias("length"), F.lit(b"").cast("binary").alias("content")))
+    m = content.unionByName(_unlisted(content).withColumn("content", F.lit(b"").cast("binary")))
     valid, invalid = named_files(m, root)
-    if data_ref is not None:
-        d = dt.date.fromisoformat(data_ref) if isinstance(data_ref, str) else data_ref
-        valid = valid.filter(F.col("data_ref") == F.lit(d))
-    return valid, invalid
+    return _of_date(valid, data_ref), invalid
+
+
+def _landed_files(spark: SparkSession, root: str) -> DataFrame:
+    # only the accepted prefixes: files moved to processed/ or rejected/ are no input again
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root.rstrip("/") + "/{incoming,raw}"))
+
+
+def _unlisted(files: DataFrame) -> DataFrame:
+    """(path, length) of the files that are listed but gave no row."""
+    listed = files.sparkSession.createDataFrame([(p,) for p in files.inputFiles()], "path string") \
+        .select(norm_path(F.col("path")).alias("path"))
+    return listed.join(files.select("path"), "path", "left_anti").select("path", F.lit(0).cast("bigint").alias("length"))
+
+
+def _of_date(files: DataFrame, data_ref) -> DataFrame:
+    if data_ref is None:
+        return files
+    d = dt.date.fromisoformat(data_ref) if isinstance(data_ref, str) else data_ref
+    return files.filter(F.col("data_ref") == F.lit(d))
+
+
+def scan_names(spark: SparkSession, root: str, data_ref=None) -> tuple[DataFrame, DataFrame]:
+    """``scan_landing`` without contents and hashes; ``uri`` is the path as Spark's readers name it."""
+    files = _landed_files(spark, root).select(norm_path(F.col("path")).alias("path"), "length",
+                                              F.col("_metadata.file_path").alias("uri"))
+    m = files.unionByName(_unlisted(files), allowMissingColumns=True)
+    valid, invalid = _by_name(m, root)
+    return _of_date(valid, data_ref), invalid
 
 
 def named_files(m: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
     """(valid, invalid) of files (path, length, content) under ``root`` by their names, with content hash."""
+    valid, invalid = _by_name(m, root)
+    return valid.withColumn("file_hash", F.sha2(F.col("content"), 256)), invalid
+
+
+def _by_name(m: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """(valid, invalid) of files (path, length) under ``root`` by their names."""
     m = m.withColumn("rel", F.regexp_replace(F.col("path"), "^" + _escape(_norm_root(root)) + "/", ""))
     # Folder placeholders: empty objects at the top of the tree.
     m = m.filter(~((F.col("length") == 0) & (F.size(F.split("rel", "/")) <= 2)))
     m = m.withColumns(parse_landing_path(F.col("rel")))
     ok = F.col("tipo").isNotNull() & F.col("id_unidade").isNotNull() & F.col("data_ref").isNotNull()
-    return m.filter(ok).withColumn("file_hash", F.sha2(F.col("content"), 256)), m.filter(~ok).select("path", "rel")
+    return m.filter(ok), m.filter(~ok).select("path", "rel")
 
 
 def _escape(s: str) -> str:
@@ -132,10 +161,13 @@ def _records(path, tipo, unit, is_empty, text, delim):
     yield FILE, [tipo, None if unit is None else str(unit), None if is_empty is None else str(is_empty)]
     if is_empty or is_empty is None:
         return
-    no = 0
+    yield from _numbered(io.StringIO(text or ""), delim)
+
+
+def _numbered(lines, delim):
+    """(record number, cells) of the records in ``lines``."""
     try:
-        for no, row in enumerate(csv.reader(io.StringIO(text or ""), delimiter=delim), 1):
-            yield no, row
+        yield from enumerate(csv.reader(lines, delimiter=delim), 1)
     except csv.Error as ex:                          # this file only; the rest of the batch goes on
         yield READ_ERROR, [str(ex)]
 
@@ -174,6 +206,110 @@ def split_records(m: DataFrame) -> DataFrame:
                     "delimiter").mapInArrow(_split_batches, RECORD_SCHEMA)
 
 
+BOM = b"\xef\xbb\xbf"
+# a codec that changes nothing and can't be entered in the middle: each file is read from first to last line by one task
+# (Hadoop's shaded client, which Spark ships, has renamed the second setting)
+WHOLE_FILES = {"io.compression.codecs": "org.apache.hadoop.io.compress.PassthroughCodec"} | dict.fromkeys(
+    ["io.compress.passthrough.extension", "org.apache.hadoop.shaded.io.compress.passthrough.extension"], ".csv")
+MEASURED = "uri string, file_hash string, utf8 boolean, bom boolean, ended boolean, n_lines long, is_empty boolean, header string"
+CHUNK_CHARS = 4 << 20
+
+
+def file_lines(spark: SparkSession, root: str, uris: list[str]) -> DataFrame:
+    """(uri, size, line, utf8): the bytes between the newlines of the files ``uris``, those of a file in order in one task.
+
+    A leading BOM and the newline after the last line are not among them; ``measure_files`` tells by the size.
+    """
+    small_batches(spark)
+    uri = F.col("_metadata.file_path")
+    rows = (spark.read.format("text").options(**WHOLE_FILES).option("lineSep", "\n").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.csv").load(root.rstrip("/") + "/{incoming,raw}").filter(uri.isin(uris)))
+    line = F.col("value").cast("binary")
+    return rows.select(uri.alias("uri"), F.col("_metadata.file_size").alias("size"), line.alias("line"),
+                       F.is_valid_utf8("value").alias("utf8"))
+
+
+def _files_of(batches, *columns):
+    """(uri, one list per batch of a file's lines: its rows of ``columns``) of each file of a task, one after the other."""
+    def runs():
+        for batch in batches:
+            names = batch.column("uri").dictionary_encode()
+            at = names.indices.to_numpy()
+            ends = [*((at[1:] != at[:-1]).nonzero()[0] + 1).tolist(), len(at)] if len(at) else []
+            for a, b in zip([0, *ends], ends):
+                yield names.dictionary[int(at[a])].as_py(), [batch.column(c).slice(a, b - a) for c in columns]
+
+    for uri, parts in groupby(runs(), key=lambda x: x[0]):
+        yield uri, (part for _, part in parts)
+
+
+def measure_files(lines: DataFrame) -> DataFrame:
+    """S5 and what S6 and S7 need of each file that has a line: content hash, whether it is UTF-8, has a BOM, ends with a
+    newline, is empty, and its header line."""
+    return lines.mapInArrow(_measured, MEASURED)
+
+
+def _measured(batches):
+    for uri, parts in _files_of(batches, "size", "line", "utf8"):
+        plain, marked = hashlib.sha256(), hashlib.sha256(BOM)
+        n, total, size, utf8, first, blank = 0, 0, 0, True, b"", {"utf-8": True, "latin-1": True}
+        for sizes, column, valid in parts:
+            rows = column.to_pylist()
+            size, first = sizes[0].as_py(), rows[0] if n == 0 else first
+            data = (b"\n" if n else b"") + b"\n".join(rows)
+            plain.update(data)
+            marked.update(data)
+            n, total, utf8 = n + len(rows), total + len(data), utf8 and valid.true_count == len(valid)
+            for code in [c for c in blank if blank[c] and (c != "utf-8" or utf8)]:
+                blank[code] = all(not r.decode(code).strip(C.WHITE_SPACE) for r in rows)
+        bom, ended = size - total > 1, size - total in (1, 4)
+        if size - total not in (0, 1, 3, 4):
+            raise RuntimeError(f"{uri}: {size} bytes listed, {total} read; the file has changed")
+        digest = marked if bom else plain
+        if ended:
+            digest.update(b"\n")
+        code = "utf-8" if utf8 else "latin-1"
+        header = (BOM if bom and not utf8 else b"") + first
+        yield pa.RecordBatch.from_pydict({
+            "uri": [uri], "file_hash": [digest.hexdigest()], "utf8": [utf8], "bom": [bom], "ended": [ended], "n_lines": [n],
+            "is_empty": [blank[code] and not (bom and not utf8)], "header": [header.decode(code)]}, schema=_MEASURED)
+
+
+_MEASURED = pa.schema([(c, {"string": pa.string(), "boolean": pa.bool_(), "long": pa.int64()}[t])
+                       for c, t in (x.split() for x in MEASURED.split(", "))])
+
+
+def split_lines(lines: DataFrame, files: dict[str, tuple]) -> DataFrame:
+    """S8 over ``file_lines``: the records of ``split_records`` without its ``FILE`` ones.
+
+    ``files``: uri -> (path, utf8, bom, ended, n_lines, delimiter).
+    """
+    def run(batches):
+        csv.field_size_limit(2**31 - 1)              # a long field is data, not an error
+        for uri, parts in _files_of(batches, "line"):
+            path, utf8, bom, ended, n_lines, delimiter = files[uri]
+            code, chars = "utf-8" if utf8 else "latin-1", [0]
+
+            def texts(rows=chain.from_iterable(p[0].to_pylist() for p in parts)):
+                for no, row in enumerate(rows, 1):
+                    text = ((BOM if no == 1 and bom and not utf8 else b"") + row).decode(code)
+                    chars[0] += len(text)
+                    yield text + "\n" if no < n_lines or ended else text
+
+            nums, sizes, cells = [], [], []
+            for no, row in _numbered(texts(), delimiter):
+                nums.append(no)
+                sizes.append(len(row))
+                cells += row
+                if len(nums) >= CHUNK_ROWS or len(cells) >= CHUNK_CELLS or chars[0] >= CHUNK_CHARS:
+                    yield _record_batch([path] * len(nums), nums, sizes, cells)
+                    nums, sizes, cells, chars[0] = [], [], [], 0
+            if nums:
+                yield _record_batch([path] * len(nums), nums, sizes, cells)
+
+    return lines.mapInArrow(run, RECORD_SCHEMA)
+
+
 def _quoted_list(arr: Column) -> Column:
     """Python-style list text: ['a', 'b']."""
     return F.concat(F.lit("["), F.array_join(F.transform(arr, lambda x: F.concat(F.lit("'"), x, F.lit("'"))),
@@ -218,12 +354,18 @@ def validate_files(m: DataFrame, max_errors: int = schemas.MAX_ERRORS_PER_FILE,
     if materialize is not None:
         recs = materialize(recs)
 
-    expected, cmap = _contract_arrays()
-    header = (recs.filter(F.col("record_no") == 1)
-                  .select("path", F.transform("cells", C.normalize_header_name).alias("raw_header")))
     files = recs.filter(F.col("record_no") == FILE).select(
         "path", F.col("cells")[0].alias("tipo"), F.col("cells")[1].cast("bigint").alias("id_unidade"),
         F.col("cells")[2].cast("boolean").alias("is_empty"))
+    return validate_records(recs, files, max_errors, materialize)
+
+
+def validate_records(recs: DataFrame, files: DataFrame, max_errors: int = schemas.MAX_ERRORS_PER_FILE,
+                     materialize=None) -> tuple[DataFrame, DataFrame]:
+    """V1-V6 over the records of ``files`` (path, tipo, id_unidade, is_empty); see ``validate_files``."""
+    expected, cmap = _contract_arrays()
+    header = (recs.filter(F.col("record_no") == 1)
+                  .select("path", F.transform("cells", C.normalize_header_name).alias("raw_header")))
     hdr = files.join(header, "path", "left")
     hdr = hdr.withColumn("header", F.transform(
         "raw_header", lambda h: F.coalesce(F.try_element_at(cmap, F.lower(h)), h)))

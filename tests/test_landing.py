@@ -240,3 +240,61 @@ def test_rows_of_an_attempt_are_written_where_they_are(spark, tmpdir_path):
     storage.append(rows, tmpdir_path, ["_batch"], spread=True)
     back = spark.read.parquet(tmpdir_path)
     assert back.count() == 100 and len(back.inputFiles()) == 4
+
+
+def test_files_are_read_by_lines_and_never_whole(spark, tmpdir_path):
+    """A batch reads no content as one value, and a file longer than a partition still belongs to one task, in order."""
+    import hashlib
+    root, p = tmpdir_path, "incoming/pedido/id_unidade="
+    body = HDR_P + "\n" + "".join(f"12;{i};Loja Online;07/10/2026;1;;;Pendente\n" for i in range(3000))
+    _write(root, p + "12/dt=2026-10-07/a.csv", body)
+    confs = {"spark.sql.sources.binaryFile.maxLength": "100", "spark.sql.files.maxPartitionBytes": "4k",
+             "spark.sql.files.openCostInBytes": "1k"}
+    old = {c: spark.conf.get(c) for c in confs}
+    try:
+        for c, v in confs.items():
+            spark.conf.set(c, v)
+        out = _run(spark, root)
+        (plan,) = out["plan"].collect()
+        assert plan["file_hash"] == hashlib.sha256(body.encode()).hexdigest() and plan["action"] == "LOAD"
+        rows = out["raw"]["pedido"].select("_line_no", "Id_Pedido").collect()
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert sorted(map(tuple, rows)) == [(i + 2, str(i)) for i in range(3000)]
+
+
+def test_lines_give_what_whole_texts_give(spark, tmpdir_path, monkeypatch):
+    import csv
+    import hashlib
+    import io
+
+    from strata.sources import landing as L
+    bom, h = L.BOM, HDR_I.encode()
+    files = [h + b"\n1;2\n", h + b"\n1;2", h + b"\r\n1;2\r\n", bom + h + b"\n1;2\n", bom + h + b"\n\xe9;2", bom, bom + b"\n", bom + bom + h,
+             b"", b"\n", b"\n\n", b" \t\n\xc2\xa0", b"\xa0\n", b"\xe9", h + b'\n1;"a\n\nb', h + b'\n1;"a\n\nb\n', h + b'\n"\xe9\n";\xc3\xa9\n',
+             h + b"\n1;2\r3\n4;5\n", "a|b,c|d\n1|2\n".encode(), h + b"\n\x00;1\n", h + "\n1; x\n".encode()]
+    for i, data in enumerate(files):
+        _write(tmpdir_path, f"incoming/item_pedido/id_unidade={i + 1}/dt=2026-10-07/f.csv", data)
+    stored = []
+    monkeypatch.setattr(L, "split_lines", lambda *a, f=L.split_lines: stored.append(f(*a)) or stored[-1])
+    monkeypatch.setattr(L, "CHUNK_ROWS", 2)
+    plan = {r["id_unidade"]: r for r in _run(spark, tmpdir_path)["plan"].collect()}
+    got = {}
+    for r in sorted(stored[0].collect(), key=lambda r: r["record_no"] if r["record_no"] > 0 else 1 << 30):
+        got.setdefault(int(r["path"].split("id_unidade=")[1].split("/")[0]), []).append((r["record_no"], r["cells"]))
+    valid, _ = L.scan_landing(spark, tmpdir_path)
+    texts = L.decode_text(valid).withColumn("delimiter", L.detect_delimiter(F.col("text"))).collect()
+    assert len(texts) == len(files) == len(plan)
+    for r in texts:
+        unit, data = r["id_unidade"], files[r["id_unidade"] - 1]
+        assert plan[unit]["file_hash"] == r["file_hash"] == hashlib.sha256(data).hexdigest(), data
+        want, no = [], 0
+        try:
+            for no, row in enumerate(csv.reader(io.StringIO(r["text"]), delimiter=r["delimiter"]), 1):
+                want.append((no, row))
+        except csv.Error as ex:
+            want.append((L.READ_ERROR, [str(ex)]))
+        empty_text = not r["text"].strip(L.C.WHITE_SPACE)
+        assert got.get(unit, []) == ([] if empty_text else want), data
+        assert (plan[unit]["errors"] == ["arquivo vazio"]) == empty_text, data
